@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +80,18 @@ class Scratch:
         jvm = self.spark._jvm
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def shared(spark: SparkSession, value):
+    """A function that returns value on executors: one broadcast, unpickled once for each Python worker.
+
+    Callers state the bound of value's size.
+    """
+    raw, box = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+
+    def get():
+        if not box:
+            box.append(cloudpickle.loads(raw.value))
+        return box[0]
+
+    return get
