@@ -28,7 +28,7 @@ from tessera.llm.common import shared, table
 MODEL = os.environ.get("TESSERA_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SPACE_MARK = "▁"
 #: Most remembered runs, and the longest.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 
 
 class Pieces:
@@ -50,9 +50,10 @@ class Pieces:
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
         self.longest = max(map(len, self.ids))
         self.low = min(self.score.values()) - 10
-        self.characters = {c for p in self.ids for c in p}
-        inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.ids)
-        self.runs = re.compile("(?s).+" if inner else f"\n|{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+" if "\n" not in self.characters else f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
+        self.endings = {p[k:] for p in self.ids for k in range(len(p))}
+        self.newline = None if any("\n" in p for p in self.ids) else [self.bytes[10]] if self.bytes else [self.unk]
+        self.spaced = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.ids)
+        self.runs = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+" if self.spaced else "(?s).+")
         self.surface = [b""] * len(proto.pieces)
         for p, i in self.ids.items():
             self.surface[i] = p.replace(SPACE_MARK, " ").encode()
@@ -60,7 +61,8 @@ class Pieces:
             self.surface[i] = bytes([b])
         self.surface[self.unk] = " ⁇ ".encode()
         self.fits: dict[tuple[str, str], bool] = {}
-        self.known = _Known(self)
+        self.known = _Known(self, "")
+        self.marked = _Known(self, SPACE_MARK)
 
     def merge(self, text: str) -> list[str]:
         """What byte-pair merging makes of a short text: the best-scored neighbours first, leftmost of equals."""
@@ -77,13 +79,10 @@ class Pieces:
         return parts
 
     def fit(self, left: str, right: str) -> bool:
-        """Whether right may follow left; "" on the left asks whether right itself is reached by merging."""
-        key = (left, right)
-        good = self.fits.get(key)
-        if good is None:
-            if len(self.fits) >= 1_000_000:
-                self.fits.clear()
-            good = self.fits[key] = self.merge(left + right) == ([left, right] if left else [right])
+        """Whether merging the joined text of two pieces gives just the two; "" on the left: gives right itself."""
+        if len(self.fits) >= 500_000:
+            self.fits.clear()
+        good = self.fits[left, right] = self.merge(left + right) == ([left, right] if left else [right])
         return good
 
     def search(self, text: Iterable[str]) -> Iterator[str]:
@@ -93,27 +92,35 @@ class Pieces:
         and its path's score.
         """
         window, back, total = "", [""], [0.0]
+        ids, fits, fit, longest, endings = self.ids, self.fits, self.fit, self.longest, self.endings
         for c in text:
             window += c
-            end, best, top = len(window), None, -np.inf
-            for n in range(min(self.longest, end), 0, -1):
-                piece = window[end - n :]
-                if back[end - n] is None:
-                    continue
-                if self.merging:
-                    if n == 1 and piece not in self.ids:
-                        best = piece
-                    elif piece in self.ids and self.fit("", piece):
-                        before = back[end - n]
-                        if not before or before not in self.ids or self.fit(before, piece):
+            end, best, top = len(window), None, 0.0
+            if self.merging:
+                # Shorter to longer, while a piece can still end so; the longest that fits is the one.
+                start, best = end - 1, c
+                piece = c
+                while piece in endings:
+                    if piece in ids:
+                        before = back[start]
+                        if before not in ids:
+                            before = ""  # the start, or a character that merges with nothing
+                        good = fits.get((before, piece))
+                        if fit(before, piece) if good is None else good:
                             best = piece
-                            break
-                else:
-                    s = self.score.get(piece, self.low if n == 1 else None)
-                    if s is not None and total[end - n] + s > top:
-                        best, top = piece, total[end - n] + s
+                    start -= 1
+                    if start < 0:
+                        break
+                    piece = window[start:]
+            else:
+                top = -np.inf
+                for start in range(max(0, end - longest), end):
+                    piece = window[start:]
+                    s = self.score.get(piece, self.low if start == end - 1 else None)
+                    if s is not None and total[start] + s > top:
+                        best, top = piece, total[start] + s
             back.append(best)
-            total.append(top if not self.merging else 0.0)
+            total.append(top)
             if end >= 2 * self.longest:
                 # Where do the paths of all boundaries that can still be continued meet?
                 ends = set(range(end - self.longest + 1, end + 1))
@@ -151,8 +158,22 @@ class Pieces:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        marked = text.replace(" ", SPACE_MARK)
-        return list(chain.from_iterable(map(self.known.__getitem__, self.runs.findall(SPACE_MARK + marked if self.prefix else marked))))
+        if not self.spaced or self.newline is None or not self.prefix:
+            whole = (SPACE_MARK if self.prefix else "") + text.replace(" ", SPACE_MARK)
+            return list(chain.from_iterable(map(self.known.__getitem__, self.runs.findall(whole))))
+        out, first = [], self.marked
+        for line in text.split("\n"):
+            # No piece holds a line's end, or a space after another character: paths meet there.
+            words = line.split(" ")
+            if "" in words:
+                whole = (SPACE_MARK if first is self.marked else "") + line.replace(" ", SPACE_MARK)
+                out += chain.from_iterable(map(self.known.__getitem__, self.runs.findall(whole)))
+            else:
+                out += first[words[0]]
+                out += chain.from_iterable(map(self.marked.__getitem__, words[1:]))
+            out += self.newline
+            first = self.known
+        return out[: -len(self.newline)]
 
     def decode(self, ids: Iterable[int]) -> str:
         data = b"".join(map(self.surface.__getitem__, ids))
@@ -164,11 +185,11 @@ class Pieces:
 class _Known(dict):
     """Runs and their ids; long runs are not kept, and a full store starts anew."""
 
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
+    def __init__(self, pieces: Pieces, before: str):
+        self.pieces, self.before = pieces, before
 
-    def __missing__(self, run: str) -> list[int]:
-        ids = self.pieces.run_ids(run)
+    def __missing__(self, run: str) -> tuple[int, ...]:
+        ids = tuple(self.pieces.run_ids(self.before + run))
         if len(run) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
