@@ -183,13 +183,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
     """docs(doc_id, text, ...) with one row of each group of near duplicates: the smallest id's.
 
-    Rows of the same id in one group are copies too, and one of them stays. Rows with a null id form a
-    group only where no other id is in it.
+    Of rows that repeat id and text one stays. Rows with a null id cannot be named as a group's smallest: they
+    stay, once for each text.
     """
     first = near_duplicates(docs, width=width).select("component_id").distinct()
-    # All columns of a row go together; rows that repeat an id are few, so the second shuffle stays small.
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["component_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def op2_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
