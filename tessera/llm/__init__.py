@@ -1,8 +1 @@
 """Operators for building training data from web-scale text; nothing outside this subpackage imports it."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Executors need not have this package on their path: its functions travel with the plans.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
