@@ -1,4 +1,261 @@
 """The registered queries over the driver's tables, and their SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions import metrics, text
+from tessera.operators import compose, dedup, gates, ledger, sampling, stats
+from tessera.sources.tables import candidates, proposals, table
+
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+#: The same candidates in SQL.
+_PROPOSALS = """p0 AS (SELECT l_orderkey * 10 + l_linenumber AS observation_id, 'Paper #' || (l_orderkey % 997) AS paper_id, s_name AS system, p_brand AS dataset,
+  ['Accuracy', 'F1 score', 'BLEU', 'PPL', 'Speed'][l_linenumber % 5 + 1] AS metric_raw, ['perplexity', 'bleu', NULL][l_suppkey % 3 + 1] AS model_id,
+  CAST(round(l_discount * 1000) AS INT) AS v, CAST(round(l_discount * 1000) AS INT) || CASE WHEN l_orderkey % 3 = 0 THEN '%' ELSE '' END AS raw,
+  l_linenumber AS page, (l_partkey % 101) / 100.0 AS confidence,
+  ['primary_result', 'primary_result', 'primary_result', 'secondary_result', 'setting'][l_orderkey % 5 + 1] AS claim_type,
+  ['supported', 'supported', 'supported', 'partially_supported'][l_suppkey % 4 + 1] AS text_support,
+  CASE WHEN l_partkey % 7 = 6 THEN 'consecutive_lines' ELSE 'single_line' END AS support_match_mode
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)"""
+_CANDIDATES = (
+    _PROPOSALS
+    + """,
+p1 AS (SELECT *, CASE metric_raw WHEN 'Accuracy' THEN 'accuracy' WHEN 'F1 score' THEN 'f1' WHEN 'BLEU' THEN 'bleu' END AS plain_id,
+  CASE WHEN metric_raw = 'PPL' AND model_id = 'perplexity' THEN 'perplexity' END AS short_id FROM p0),
+p2 AS (SELECT *, coalesce(plain_id, short_id, model_id) AS metric_id,
+  CASE WHEN plain_id IS NOT NULL THEN 'registry' WHEN short_id IS NOT NULL THEN 'registry_concordant' WHEN model_id IS NOT NULL THEN 'model' ELSE 'none' END AS metric_source FROM p1),
+p3 AS (SELECT *, CASE WHEN metric_id IN ('accuracy', 'f1') THEN CASE WHEN raw LIKE '%\\%' ESCAPE '\\' THEN 'percent' WHEN v BETWEEN 0 AND 1 THEN 'proportion'
+  WHEN metric_source = 'registry' AND v > 1 AND v <= 100 THEN 'percent' END END AS unit FROM p2),
+p4 AS (SELECT *, CASE WHEN v > CASE WHEN unit = 'percent' THEN 100 WHEN unit = 'proportion' THEN 1 WHEN metric_id IN ('accuracy', 'f1') THEN 1 WHEN metric_id = 'bleu' THEN 100 END
+  OR v < CASE WHEN metric_id = 'perplexity' THEN 1 WHEN metric_id IS NOT NULL THEN 0 END THEN 'value_outside_registry_metric_bounds' END AS value_blocker,
+  CASE WHEN claim_type <> 'primary_result' THEN 'unverified' WHEN metric_id IS NOT NULL AND (unit IS NOT NULL OR metric_id NOT IN ('accuracy', 'f1')) THEN 'resolved' ELSE 'unresolved' END AS referential_status,
+  CASE WHEN observation_id % 3 = 2 THEN 'positive_structural' WHEN claim_type <> 'primary_result' THEN 'none' WHEN observation_id % 3 = 0 THEN 'no_external_cue'
+  WHEN page = 1 THEN 'none' ELSE 'unchecked' END AS origin_basis FROM p3),
+c AS (SELECT *, CASE WHEN claim_type <> 'primary_result' THEN 'not_eligible' WHEN text_support <> 'supported' OR value_blocker IS NOT NULL OR support_match_mode = 'consecutive_lines'
+  OR referential_status <> 'resolved' OR confidence < 0.8 THEN 'needs_review' ELSE 'eligible' END AS export_status,
+  CASE WHEN claim_type <> 'primary_result' THEN 'claim_type=' || claim_type || ' is not a primary result' WHEN text_support <> 'supported' THEN 'text_support=' || text_support
+  WHEN value_blocker IS NOT NULL THEN 'value_blocker=' || value_blocker WHEN support_match_mode = 'consecutive_lines' THEN 'support_match_mode=consecutive_lines'
+  WHEN referential_status <> 'resolved' THEN 'referential_status=' || referential_status
+  WHEN confidence < 0.8 THEN 'extraction_confidence=0.' || lpad(CAST(CAST(round(confidence * 1000) AS INT) AS VARCHAR), 3, '0') || ' below 0.800'
+  ELSE 'passed primary-result, evidence, reference, and confidence gates' END AS export_reason FROM p4)"""
+)
+
+
+@query(f"""WITH {_CANDIDATES}, e AS (SELECT * FROM c WHERE export_status = 'eligible' AND origin_basis <> 'none')
+SELECT paper_id, system, count(*) AS n_results, string_agg(dataset || ':' || metric_id || '=' || raw, ';' ORDER BY dataset, metric_id, v, observation_id) AS results,
+['none', 'unchecked', 'no_external_cue', 'reviewed_quote', 'positive_structural', 'human_confirmed'][min(list_position(['none', 'unchecked', 'no_external_cue', 'reviewed_quote', 'positive_structural', 'human_confirmed'], origin_basis))] AS origin_basis
+FROM e GROUP BY paper_id, system""")
+def q_compose_records(spark, d):
+    own = candidates(spark, d).filter("export_status = 'eligible'").filter(gates.policy_permits(F.col("origin_basis"), "tiered"))
+    flat = F.transform("results", lambda r: F.concat(r["dataset"], F.lit(":"), r["metric_id"], F.lit("="), r["raw"]))
+    return compose.compose_records(own).select("paper_id", "system", F.size("results").cast("long").alias("n_results"), F.array_join(flat, ";").alias("results"), "origin_basis")
+
+
+@query(f"WITH {_CANDIDATES} SELECT export_status, export_reason, count(*) AS n FROM c GROUP BY ALL")
+def q_export_policy(spark, d):
+    return candidates(spark, d).groupBy("export_status", "export_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_CANDIDATES} SELECT metric_raw, metric_id, metric_source, unit, value_blocker, referential_status, count(*) AS n FROM c GROUP BY ALL")
+def q_metric_resolution(spark, d):
+    keys = ["metric_raw", "metric_id", "metric_source", "unit", "value_blocker", "referential_status"]
+    return candidates(spark, d).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_CANDIDATES} SELECT origin_basis, origin_basis IN ('human_confirmed', 'positive_structural') AS positive_only, origin_basis <> 'none' AS tiered, count(*) AS n FROM c GROUP BY ALL")
+def q_policy_permits(spark, d):
+    c = candidates(spark, d)
+    own = [gates.policy_permits(F.col("origin_basis"), p).alias(p) for p in ("positive_only", "tiered")]
+    return c.groupBy("origin_basis", *own).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {_PROPOSALS} SELECT paper_id, system, dataset, metric_raw, raw, min(observation_id) AS observation_id, count(*) AS merged, round(max(confidence), 6) AS confidence
+FROM p0 GROUP BY paper_id, system, dataset, metric_raw, raw""")
+def q_dedup_merge(spark, d):
+    keys = ["paper_id", "system", "dataset", "metric_raw", "raw"]
+    out = dedup.merge_duplicates(proposals(spark, d), keys, "observation_id")
+    return out.select(*keys, "observation_id", "merged", F.round("confidence", 6).alias("confidence"))
+
+
+@query(f"""WITH {_PROPOSALS}, s AS (SELECT paper_id, page, raw FROM p0 GROUP BY ALL HAVING min(system || '|' || dataset) <> max(system || '|' || dataset))
+SELECT observation_id, s.raw IS NOT NULL AS ambiguous FROM p0 LEFT JOIN s ON p0.paper_id = s.paper_id AND p0.page = s.page AND p0.raw = s.raw""")
+def q_ambiguous_evidence(spark, d):
+    meaning = F.concat_ws("|", "system", "dataset")
+    return dedup.ambiguous(proposals(spark, d), ["paper_id", "page", "raw"], meaning).select("observation_id", "ambiguous")
+
+
+@query("SELECT sha256(text) AS text_key, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
+def q_doc_exact_dedup(spark, d):
+    docs = table(spark, d, "documents").select(F.sha2("text", 256).alias("text_key"), "doc_id")
+    return docs.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(lower(trim(p_name)), '[^a-z0-9]+', '-', 'g'), '-') AS slug, nullif(trim(regexp_replace(regexp_replace(regexp_replace(lower(p_type || ' (test)'), '\\s*\\([^)]*\\)\\s*$', ''), '\\b(dataset|corpus|benchmark|test|set)\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')), '') AS dataset_key FROM part")
+def q_names(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"), text.dataset_key(F.concat("p_type", F.lit(" (test)"))).alias("dataset_key"))
+
+
+@query("SELECT doc_id, sha256(trim(regexp_replace(translate(text, chr(160) || chr(8722), ' -'), '[ \\t\\n\\r\\f\\x0b]+', ' ', 'g'))) AS evidence_sha256 FROM documents")
+def q_evidence_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.evidence_text(F.col("text")), 256).alias("evidence_sha256"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'percent' WHEN 1 THEN 'proportion' WHEN 2 THEN 'ms' END AS unit FROM orders")
+def q_unit_canon(spark, d):
+    raw = F.element_at(F.array(*map(F.lit, (" % ", "Fraction", "ms", ""))), (F.col("o_orderkey") % 4).cast("int") + 1)
+    return table(spark, d, "orders").select("o_orderkey", metrics.unit(raw).alias("unit"))
+
+
+@query("SELECT doc_id, sha256('7|audit|' || doc_id) AS order_key, round((row_number() OVER (PARTITION BY lang, source ORDER BY sha256('7|audit|' || doc_id)) - 0.5) / count(*) OVER (PARTITION BY lang, source), 9) AS position FROM documents")
+def q_stratified_order(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    out = sampling.stratified_order(docs, ["lang", "source"], text.hash_key("7", F.lit("audit"), F.col("doc_id")))
+    return out.select("doc_id", "order_key", F.round("position", 9).alias("position"))
+
+
+@query("""WITH e AS (SELECT doc_id, lang, source, sha256('7|reserve|' || doc_id) AS k FROM documents ANTI JOIN labels USING (doc_id)),
+o AS (SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY k) - 0.5) / count(*) OVER (PARTITION BY lang, source) AS position FROM e)
+SELECT doc_id, lang, source FROM o ORDER BY position, k LIMIT 60""")
+def q_reserve_draw(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source").join(table(spark, d, "labels"), "doc_id", "left_anti")
+    return sampling.draw(docs, ["lang", "source"], text.hash_key("7", F.lit("reserve"), F.col("doc_id")), 60).select("doc_id", "lang", "source")
+
+
+@query("SELECT doc_id, quality, place FROM (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY sha256('3|' || doc_id)) AS place FROM labels) WHERE place <= 25")
+def q_label_packet(spark, d):
+    return sampling.quota(table(spark, d, "labels"), ["quality"], "3", "doc_id", 25).select("doc_id", "quality", F.col("place").cast("long").alias("place"))
+
+
+@query(f"""WITH {_CANDIDATES} SELECT observation_id, CASE WHEN export_status = 'eligible' THEN 8 ELSE 0 END + CASE WHEN export_status = 'needs_review' THEN 9 ELSE 0 END
++ CASE WHEN text_support <> 'supported' THEN 10 ELSE 0 END + CASE WHEN confidence < 0.9 THEN 6 ELSE 0 END + CASE WHEN unit IS NULL THEN 7 ELSE 0 END AS risk,
+concat_ws('|', CASE WHEN confidence < 0.9 THEN 'confidence' END, CASE WHEN export_status = 'eligible' THEN 'eligible' END, CASE WHEN export_status = 'needs_review' THEN 'needs_review' END,
+CASE WHEN text_support <> 'supported' THEN 'text_risk' END, CASE WHEN unit IS NULL THEN 'unit_missing' END) AS reasons FROM c""")
+def q_risk_rank(spark, d):
+    flags = {
+        "eligible": (F.col("export_status") == "eligible", 8), "needs_review": (F.col("export_status") == "needs_review", 9),
+        "text_risk": (F.col("text_support") != "supported", 10), "confidence": (F.col("confidence") < 0.9, 6), "unit_missing": (F.col("unit").isNull(), 7),
+    }
+    weight, reasons = sampling.risk(flags)
+    return candidates(spark, d).select("observation_id", weight.cast("int").alias("risk"), reasons.alias("reasons"))
+
+
+@query("SELECT quality AS truth, toxic AS guess, count(*) AS n FROM labels GROUP BY ALL")
+def q_confusion(spark, d):
+    return stats.confusion(table(spark, d, "labels"), "quality", "toxic")
+
+
+@query("""WITH k AS (SELECT unnest([0, 1]) AS class), s AS (SELECT class, count(*) FILTER (WHERE quality = class AND toxic = class) AS tp, count(*) FILTER (WHERE quality <> class AND toxic = class) AS fp,
+count(*) FILTER (WHERE quality = class AND toxic <> class) AS fn FROM labels, k GROUP BY class)
+SELECT class, tp, fp, fn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM s""")
+def q_claim_type_f1(spark, d):
+    return stats.precision_recall(table(spark, d, "labels"), "quality", "toxic")
+
+
+@query("""WITH s AS (SELECT count(*) AS n, count(*) FILTER (WHERE quality = toxic) AS same, sum(quality) AS a, sum(toxic) AS b FROM labels),
+e AS (SELECT n, same / n AS o, (a * b + (n - a) * (n - b)) / (n * n) AS x FROM s)
+SELECT n, round(o, 6) AS observed, round(x, 6) AS expected, round((o - x) / nullif(1 - x, 0), 6) AS kappa FROM e""")
+def q_cohen_kappa(spark, d):
+    return stats.cohen_kappa(table(spark, d, "labels"), "quality", "toxic")
+
+
+@query("SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(min(value), 6) AS least, round(max(value), 6) AS most FROM events GROUP BY event_type")
+def q_latency_percentiles(spark, d):
+    v = F.col("value")
+    return table(spark, d, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.percentile(v, 0.5), 6).alias("p50"), F.round(F.percentile(v, 0.95), 6).alias("p95"),
+        F.round(F.min(v), 6).alias("least"), F.round(F.max(v), 6).alias("most"),
+    )
+
+
+@query(f"""WITH {_CANDIDATES}, s AS (SELECT count(*) AS n, count(metric_id) AS m, count(unit) AS u, count(value_blocker) AS b FROM c)
+SELECT n, round((n - m) / n, 6) AS metric_null, round((n - u) / n, 6) AS unit_null, round((n - b) / n, 6) AS blocker_null,
+CASE WHEN round(m / n, 6) >= 0.9 THEN 'passed' ELSE 'failed' END AS metric_gate FROM s""")
+def q_null_rates(spark, d):
+    share = lambda c: F.round((F.count(F.lit(1)) - F.count(c)) / F.count(F.lit(1)), 6)
+    got = F.round(F.count("metric_id") / F.count(F.lit(1)), 6)
+    return candidates(spark, d).agg(
+        F.count(F.lit(1)).alias("n"), share("metric_id").alias("metric_null"), share("unit").alias("unit_null"),
+        share("value_blocker").alias("blocker_null"), gates.gate(got, 0.9).alias("metric_gate"),
+    )
+
+
+@query("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id, count(*) AS events FROM events GROUP BY user_id")
+def q_ledger_last_state(spark, d):
+    return ledger.last_state(table(spark, d, "events"), "user_id", "event_id", "event_type", "event_id")
+
+
+_COST = "CAST(round(value * 100) AS BIGINT)"
+
+
+@query(f"SELECT event_id, committed, committed <= 20000 AS admitted FROM (SELECT event_id, CAST(sum({_COST}) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS committed FROM events)")
+def q_admission_replay(spark, d):
+    cost = F.round(F.col("value") * 100).cast("long")
+    return ledger.admitted(table(spark, d, "events"), "user_id", "event_id", cost, 20000).select("event_id", "committed", "admitted")
+
+
+@query("""SELECT o_custkey, CASE min(CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'O' THEN 2 WHEN 'F' THEN 3 END) WHEN 1 THEN 'P' WHEN 2 THEN 'O' ELSE 'F' END AS o_orderstatus, count(*) AS n FROM orders GROUP BY o_custkey""")
+def q_paper_status(spark, d):
+    return ledger.status_priority(table(spark, d, "orders"), "o_custkey", "o_orderstatus", ["P", "O", "F"])
+
+
+@query("SELECT c_custkey, o.k IS NOT NULL AS inspected FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders) o ON c_custkey = o.k")
+def q_previously_inspected(spark, d):
+    seen = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("seen", F.lit(True))
+    out = table(spark, d, "customer").select("c_custkey").join(seen, "c_custkey", "left")
+    return out.select("c_custkey", F.coalesce("seen", F.lit(False)).alias("inspected"))
+
+
+@query("""WITH u AS (SELECT DISTINCT event_type, user_id FROM events), n AS (SELECT event_type, count(*) AS n FROM u GROUP BY event_type),
+b AS (SELECT x.event_type AS left_type, y.event_type AS right_type, count(*) AS shared FROM u x JOIN u y ON x.user_id = y.user_id AND x.event_type < y.event_type GROUP BY ALL)
+SELECT left_type, right_type, shared, round(shared / (l.n + r.n - shared), 6) AS jaccard FROM b JOIN n l ON left_type = l.event_type JOIN n r ON right_type = r.event_type""")
+def q_stability_jaccard(spark, d):
+    users = table(spark, d, "events").select("event_type", "user_id").distinct()
+    sizes = users.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    # A user has at most one row for each type here, so the pairs are bounded by types, not by events.
+    sets = users.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
+    pair = sets.select(F.explode("types").alias("left_type"), "types").select("left_type", F.explode("types").alias("right_type")).filter("left_type < right_type")
+    both = pair.groupBy("left_type", "right_type").agg(F.count(F.lit(1)).alias("shared"))
+    left, right = (sizes.select(F.col("event_type").alias(f"{s}_type"), F.col("n").alias(f"n_{s}")) for s in ("left", "right"))
+    out = both.join(left, "left_type").join(right, "right_type")
+    return out.select("left_type", "right_type", "shared", F.round(F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared")), 6).alias("jaccard"))
+
+
+@query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) AS i, count(*) OVER (PARTITION BY event_type) AS n, avg(value) OVER (PARTITION BY event_type) AS m FROM events)
+SELECT event_type, round(max(value), 6) AS p95, round(least(500, greatest(max(value), 2 * max(m))), 4) AS reserved FROM r WHERE i = least(n, CAST(floor(0.95 * n) AS BIGINT) + 1) GROUP BY event_type""")
+def q_budget_estimate(spark, d):
+    n = F.count(F.lit(1))
+    # The nearest rank is one discrete percentile; a sorted list of a whole group is never built.
+    seen = table(spark, d, "events").groupBy("event_type", "value").agg(n.alias("k"))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("event_type")
+    upto, total = F.sum("k").over(w.orderBy("value")), F.sum("k").over(w)
+    mean = F.sum(F.col("value") * F.col("k")).over(w) / total
+    ranked = seen.select("event_type", "value", upto.alias("upto"), total.alias("n"), mean.alias("m"))
+    rank = F.least(F.col("n"), F.floor(F.col("n") * 0.95) + 1)
+    best = ranked.filter(F.col("upto") >= rank).groupBy("event_type").agg(F.min("value").alias("p95"), F.max("m").alias("m"))
+    return best.select("event_type", F.round("p95", 6).alias("p95"), F.round(F.least(F.lit(500.0), F.greatest("p95", 2 * F.col("m"))), 4).alias("reserved"))
+
+
+@query()
+def q_clopper_pearson(spark, d):
+    """The exact interval of the share of label 1; computed on one aggregate row."""
+    from pyspark.sql.types import DoubleType
+
+    got = table(spark, d, "labels").agg(F.sum("quality").alias("k"), F.count(F.lit(1)).alias("n"))
+    side = lambda i: F.udf(lambda k, n: stats.clopper_pearson(int(k), int(n))[i], DoubleType())("k", "n")
+    return got.select("k", "n", F.round(side(0), 6).alias("lower"), F.round(side(1), 6).alias("upper"))
