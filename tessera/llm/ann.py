@@ -56,7 +56,7 @@ class Index:
         edges = [1, *range(1 + max(4, dim // 8), dim, max(4, dim // 8)), dim + 1]
         self.blocks = [slice(a, b) for a, b in zip([0, *edges[1:-1]], edges[1:], strict=True)]
         x = self.turn(sample)
-        lists = int(np.clip(np.sqrt(n) / 2, 1, min(LISTS, len(x))))
+        lists = int(np.clip(np.sqrt(n) / 8, 1, min(LISTS, len(x))))
         self.centres = x[rng.choice(len(x), lists, replace=False)]
         for _ in range(8):
             near = self.nearest(x)
