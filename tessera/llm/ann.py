@@ -2,9 +2,9 @@
 
 Largest inner product becomes smallest distance by one more dimension, sqrt(M^2 - |x|^2) (0 for a query).
 Vectors are rotated by a random orthogonal matrix and laid out in blocks of columns, so a partial
-distance over the first d of D columns estimates the whole. Candidates whose estimate exceeds the
-threshold by the factor (1 + e / sqrt(d))^2 fail a hypothesis test (Gao and Long 2023) and are abandoned;
-the rest are measured exactly on the original vectors. The threshold starts at the k-th best of a broadcast
+distance over the first d of D columns estimates the whole. Candidates whose partial distance is too
+large for the threshold fail a hypothesis test (after Gao and Long 2023) and are abandoned; the rest are
+measured exactly on the original vectors. The threshold starts at the k-th best of a broadcast
 sample, which bounds the k-th of the probed lists from the start. Vectors without structure have their
 neighbours in many lists, so three quarters are probed (measured recall: README).
 """
@@ -27,8 +27,8 @@ SAMPLE = 10_000
 LISTS, SHARE, LEAST = 512, 0.75, 8
 #: Most vectors, and queries, that meet in one task, about.
 VECTORS, QUERIES = 4096, 2048
-#: e of the hypothesis test.
-EPSILON = 3.0
+#: Deviations above the mean at which the hypothesis test abandons a candidate.
+Z = 2.5
 
 
 def usable(vec: Column) -> Column:
@@ -51,7 +51,7 @@ class Index:
     def __init__(self, ids: np.ndarray, sample: np.ndarray, top: float, n: int, k: int):
         dim = sample.shape[1]
         rng = np.random.default_rng(0)
-        self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+        self.rotation = np.linalg.qr(rng.standard_normal((dim + 1, dim + 1)))[0]
         self.top, self.k, self.ids, self.sample = top, k, ids, sample.astype(np.float32)
         edges = [1, *range(1 + max(4, dim // 8), dim, max(4, dim // 8)), dim + 1]
         self.blocks = [slice(a, b) for a, b in zip([0, *edges[1:-1]], edges[1:], strict=True)]
@@ -68,9 +68,9 @@ class Index:
         self.sizes = np.zeros(lists, np.int64)
 
     def turn(self, x: np.ndarray, query: bool = False) -> np.ndarray:
-        """Rotated, with the extra dimension in front."""
+        """With the extra dimension, all rotated: no column holds more of a distance than another on average."""
         extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.top**2 - (x * x).sum(1), 0))
-        return np.concatenate((extra[:, None], x @ self.rotation), axis=1)
+        return np.concatenate((extra[:, None], x), axis=1) @ self.rotation
 
     def distances(self, x: np.ndarray) -> np.ndarray:
         return (x * x).sum(1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(1)
@@ -102,29 +102,45 @@ class Index:
         far = (q * q).sum(1) + self.top**2 - 2 * np.where(np.isfinite(kth), kth, 0)
         return np.where(np.isfinite(kth), far + 1e-6 * (1 + np.abs(far)), np.inf)
 
-    def scan(self, ids, x, query, q, bound) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, scores) of the best k of one block for one query."""
-        t, t_q = x
-        own, raw = query
-        dim = sum(b.stop - b.start for b in self.blocks)
-        alive = np.flatnonzero(ids != own)
-        first = alive[: 2 * self.k]
-        if len(first) >= self.k:
-            exact = sum(((t[j][first] - t_q[b]) ** 2).sum(1) for j, b in enumerate(self.blocks))
-            bound = min(bound, np.partition(exact, self.k - 1)[self.k - 1] * (1 + 1e-9) + 1e-9)
-        partial, done = np.zeros(len(alive)), 0
-        for j, b in enumerate(self.blocks):
-            partial = partial + ((t[j][alive] - t_q[b]) ** 2).sum(1)
-            done += b.stop - b.start
-            limit = bound if done >= dim else bound * (done / dim) * (1 + EPSILON / np.sqrt(done)) ** 2
-            stays = partial <= limit * (1 + 1e-9) + 1e-9
-            alive, partial = alive[stays], partial[stays]
-        if len(alive) > self.k:
-            kth = np.partition(partial, self.k - 1)[self.k - 1]
-            alive = alive[partial <= kth * (1 + 1e-9) + 1e-9]
-        scores = (q[alive] * raw).sum(1)
-        best = np.lexsort((ids[alive], -scores))[: self.k]
-        return alive[best], scores[best]
+    def limit(self, bound, done: int):
+        """What a partial distance over done columns may be if the whole is within the bound.
+
+        Under a random rotation the share of a squared length in d of D columns has mean d / D and this variance;
+        a share Z deviations above it is held against the candidate.
+        """
+        dim = self.blocks[-1].stop
+        if done >= dim:
+            return bound * (1 + 1e-9) + 1e-9
+        return bound * (done / dim + Z * np.sqrt(2 * done * (dim - done) / (dim * dim * (dim + 2)))) + 1e-9
+
+    def scan(self, ids, x, t, asks, q, t_q, bounds) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(positions, scores) of the best k of one block of vectors for each query.
+
+        x, q: the vectors and queries as they are; t, t_q: turned. The first two column blocks are measured for many
+        queries at once, the others only for candidates that the tests leave.
+        """
+        for a in range(0, len(asks), 128):
+            own, some = t_q[a : a + 128], bounds[a : a + 128]
+            alive, partial, done = ids[None, :] != asks[a : a + 128, None], 0.0, 0
+            for b in self.blocks[:2]:
+                part, turned = t[:, b], own[:, b]
+                partial = partial + ((turned * turned).sum(1)[:, None] + (part * part).sum(1) - 2 * turned @ part.T)
+                done = b.stop
+                alive &= partial <= self.limit(some, done)[:, None]
+            for i in range(len(own)):
+                left = np.flatnonzero(alive[i])
+                sums, upto = partial[i, left], done
+                for b in self.blocks[2:]:
+                    sums = sums + ((t[left, b] - own[i, b]) ** 2).sum(1)
+                    upto = b.stop
+                    stays = sums <= self.limit(some[i], upto)
+                    left, sums = left[stays], sums[stays]
+                if len(left) > self.k:
+                    kth = np.partition(sums, self.k - 1)[self.k - 1]
+                    left = left[sums <= kth * (1 + 1e-9) + 1e-9]
+                scores = (x[left] * q[a + i]).sum(1)
+                best = np.lexsort((ids[left], -scores))[: self.k]
+                yield left[best], scores[best]
 
 
 def fit(vectors: DataFrame, k: int, sample: int = SAMPLE) -> Index | None:
@@ -197,12 +213,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         if a.num_rows and b.num_rows:
             own = base()
             ids, raw = a.column("id").to_numpy(), _matrix(a.column("vec"))
-            turned = own.turn(raw)
-            columns = [np.ascontiguousarray(turned[:, s]) for s in own.blocks]
             asks, raw_q, bounds = b.column("id").to_numpy(), _matrix(b.column("vec")), b.column("bound").to_numpy()
-            turned_q = own.turn(raw_q, query=True)
-            for i in range(len(asks)):
-                at, scores = own.scan(ids, (columns, turned_q[i]), (asks[i], raw_q[i]), raw, bounds[i])
+            found = own.scan(ids, raw, own.turn(raw), asks, raw_q, own.turn(raw_q, query=True), bounds)
+            for i, (at, scores) in enumerate(found):
                 got[0].append(np.full(len(at), asks[i]))
                 got[1].append(ids[at])
                 got[2].append(scores)
