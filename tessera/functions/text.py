@@ -30,7 +30,7 @@ def dataset_key(x: Column, generic: str = "dataset|corpus|benchmark|test|set") -
 
 def tokens(x: Column) -> Column:
     """Parts between semicolons, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(x, ";"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(x, ";"), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def names_compatible(a: Column, b: Column) -> Column:
