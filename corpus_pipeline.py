@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, linededup, pieces, quality, simhash
+from tessera.llm import decontaminate, linededup, pieces, quality, similar
 from tessera.llm.common import Scratch, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,8 +27,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group; of rows that share that id, one."""
-    return simhash.one_of_each(docs).select(*COLUMNS)
+    """The document of smallest id of each group: SimHash links and bands propose, five-word similarity decides."""
+    return similar.one_of_each(docs).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm import similar
 from tessera.llm.common import Scratch, table, words
 from tessera.llm.components import components
 
@@ -52,8 +51,12 @@ def shingle_hashes(tokens: list[bytes], width: int, seed: int = 42) -> np.ndarra
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
-    """The 64-bit fingerprint, as a signed long: a bit is 1 if it is set in over half of the hashes."""
-    hashes = shingle_hashes(words(text), width, seed)
+    """The 64-bit fingerprint of a text, as a signed long."""
+    return majority(shingle_hashes(words(text), width, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, as a signed long: a bit is 1 if it is set in over half of the hashes; 0 of none."""
     if not len(hashes):
         return 0
     ones = np.zeros(64, np.int64)
@@ -181,21 +184,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def one_of_each(docs: DataFrame, width: int = similar.WIDTH) -> DataFrame:
-    """docs(doc_id, text, ...) with one row of each group of near copies: the smallest id's.
-
-    Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more. Fingerprints of the same
-    shingles, linked by the pigeonring keys, propose pairs; `similar` adds its own and decides by exact similarity.
-    Of rows that repeat id and text one stays. Rows with a null id cannot be named as a group's smallest: they
-    stay, once for each text. Texts without words are copies of each other.
-    """
-    scratch = Scratch(docs.sparkSession)
-    near = near_duplicates(docs.filter("doc_id is not null"), width=width, scratch=scratch)
-    proposed = scratch.keep(near.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).filter("u <> v"), "proposed")
-    gone = similar.copies(docs.select(F.col("doc_id").alias("id"), "text"), proposed, scratch)
-    return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti").dropDuplicates(["doc_id", "text"])
-
-
 def op2_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component."""
     return near_duplicates(table(spark, sf_dir, "documents"))

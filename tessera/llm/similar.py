@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, words
 from tessera.llm.components import components
+from tessera.llm.simhash import links, majority, shingle_hashes
 
 WIDTH = 5
 LEAST = 0.8
@@ -32,18 +34,26 @@ BLOCK = 8_000_000
 SALTS = 8
 
 
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The set of big-endian hashes, as sorted numbers."""
+    return np.unique(hashes.reshape(-1).view(">u8").astype(np.uint64))
+
+
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """The distinct shingle hashes of a text, sorted; a text of fewer words is one shingle, one of none has none."""
-    from tessera.llm.simhash import shingle_hashes
+    """The distinct shingle hashes of a text; a text of fewer words is one shingle, one of none has none."""
+    return distinct(shingle_hashes(words(text), width))
 
-    return np.unique(shingle_hashes(words(text), width).reshape(-1).view(">u8").astype(np.uint64))
+
+@cache
+def _mixes(how_many: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(seed)
+    turn = draw.integers(0, 2**32, how_many, np.uint32)
+    return turn, draw.integers(0, 2**31, how_many, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def minima(hashes: np.ndarray, how_many: int = ROWS * BANDS, seed: int = 11) -> np.ndarray:
     """The least value of each of how_many mixes of the hashes."""
-    draw = np.random.default_rng(seed)
-    turn = draw.integers(0, 2**32, how_many, np.uint32)
-    scale = draw.integers(0, 2**31, how_many, np.uint32) * np.uint32(2) + np.uint32(1)
+    turn, scale = _mixes(how_many, seed)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     least = np.full(how_many, 2**32 - 1, np.uint32)
     for at in range(0, len(short), 256):
@@ -52,13 +62,15 @@ def minima(hashes: np.ndarray, how_many: int = ROWS * BANDS, seed: int = 11) ->
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> (id, a, b, bands): 128 bits of the shingle set, and its band keys."""
+    """(id, text) -> (id, a, b, fp, bands): 128 bits of the shingle set, the fingerprint, the band keys."""
     import xxhash
 
     for batch in batches:
-        a, b, bands = [], [], []
+        a, b, fps, bands = [], [], [], []
         for text in batch.column(1):
-            own = shingle_set(text.as_py())
+            hashes = shingle_hashes(words(text.as_py()), WIDTH)
+            fps.append(majority(hashes))
+            own = distinct(hashes)
             digest = np.frombuffer(xxhash.xxh128_digest(own.tobytes()), ">i8")
             a.append(int(digest[0]))
             b.append(int(digest[1]))
@@ -68,7 +80,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands.append(np.frombuffer(keys, ">i8").astype(np.int64))
         ends = pa.array(np.arange(0, BANDS * (len(a) + 1), BANDS, dtype=np.int32))
         lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64()), lists], names=["id", "a", "b", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (a, b, fps)), lists], names=["id", "a", "b", "fp", "bands"])
 
 
 def forest(sets: list[np.ndarray], least: float = LEAST) -> list[tuple[int, int]]:
@@ -115,17 +127,16 @@ def _links(group: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array([ids[x] for x, _ in found], pa.int64()), "v": pa.array([ids[y] for _, y in found], pa.int64())})
 
 
-def copies(docs: DataFrame, proposed: DataFrame, scratch: Scratch, block: int = BLOCK) -> DataFrame:
-    """docs(id long, text), proposed(u, v) -> (id): the ids that are not the smallest of their group of near copies.
-
-    Groups are the components of all links of a similarity of 0.8 or more. Null ids take no part. An id that
-    repeats stands for all its texts. Texts without words are copies of each other.
-    """
-    docs = docs.filter("id is not null")
-    sketches = scratch.keep(docs.mapInArrow(_sketches, "id long, a long, b long, bands array<long>"), "sketches")
-    # Equal sets are one node, the smallest id's.
-    nodes = scratch.keep(sketches.groupBy("a", "b").agg(F.min("id").alias("node")), "nodes")
-    known = scratch.keep(sketches.drop("bands").join(nodes, ["a", "b"]).select("id", "node"), "known")
+def proposals(nodes: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
+    """(u, v) nodes that fingerprints within the radius, or bands, bring together; each chain or band is a star."""
+    firsts = scratch.keep(nodes.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    alike = nodes.join(firsts, "fp").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    close = scratch.keep(links(firsts.select("fp")), "links")
+    close = (
+        close.join(firsts.select(F.col("fp").alias("u"), F.col("first").alias("x")), "u")
+        .join(firsts.select(F.col("fp").alias("v"), F.col("first").alias("y")), "v")
+        .select(F.col("x").alias("u"), F.col("y").alias("v"))
+    )
     probes = sketches.join(nodes, F.col("id") == F.col("node"), "left_semi").select("id", F.explode("bands").alias("key"))
     shared = probes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("n > 1")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
@@ -134,23 +145,42 @@ def copies(docs: DataFrame, proposed: DataFrame, scratch: Scratch, block: int =
         .join(shared.select("key", "first", salts.alias("salt")), ["key", "salt"])
         .select(F.col("id").alias("u"), F.col("first").alias("v"))
     )
-    named = (
-        proposed.filter("u <> v")
-        .join(known.select(F.col("id").alias("u"), F.col("node").alias("x")), "u")
-        .join(known.select(F.col("id").alias("v"), F.col("node").alias("y")), "v")
-        .select(F.col("x").alias("u"), F.col("y").alias("v"))
-    )
-    rooted = scratch.keep(components(met.unionByName(named), scratch), "candidates")
-    texts = docs.join(rooted, F.col("id") == F.col("node")).select("id", "root", "text").dropDuplicates(["id", "text"])
-    weights = docs.select("id", F.char_length("text").alias("w")).join(rooted, F.col("id") == F.col("node"))
-    spread = F.greatest(F.lit(1), F.ceil(F.sum("w") / block)).alias("spread")
+    return met.unionByName(alike).unionByName(close)
+
+
+def copies(docs: DataFrame, scratch: Scratch, block: int = BLOCK) -> DataFrame:
+    """docs(id long, text) -> (id): the ids that are not the smallest of their group of near copies.
+
+    Groups are the components of all links of a similarity of 0.8 or more. Null ids take no part. An id that
+    repeats stands for all its texts. Texts without words are copies of each other.
+    """
+    docs = docs.filter("id is not null")
+    sketches = scratch.keep(docs.mapInArrow(_sketches, "id long, a long, b long, fp long, bands array<long>"), "sketches")
+    # Equal sets are one node, the smallest id's.
+    nodes = scratch.keep(sketches.groupBy("a", "b").agg(F.min(F.struct("id", "fp")).alias("s")).select("a", "b", "s.fp", F.col("s.id").alias("node")), "nodes")
+    rooted = scratch.keep(components(proposals(nodes, sketches, scratch), scratch), "candidates")
+    texts = docs.join(rooted, F.col("id") == F.col("node")).select("id", "root", "text")
+    weights = texts.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.char_length("text")) / block)).alias("spread"))
+    # Weights of one block are the rule, so only the few other groups are looked up.
     dealt = (
-        texts.join(weights.groupBy("root").agg(spread), "root")
+        texts.join(scratch.keep(weights.filter("spread > 1"), "large"), "root", "left")
+        .withColumn("spread", F.coalesce("spread", F.lit(1).cast("long")))
         .withColumn("mine", F.pmod(F.xxhash64("id", F.lit(7)), F.col("spread")))
         .select("id", "text", "root", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("spread") - 1)).alias("other"))
         .select("id", "text", "root", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
     )
     linked = scratch.keep(dealt.groupBy("root", "p", "q").applyInArrow(lambda g: _links(g), "u long, v long"), "similar")
     far = components(linked, scratch).filter("node <> root").select(F.col("node").alias("id"))
-    equal = known.filter("id <> node").select("id")
+    equal = sketches.drop("bands").join(nodes.select("a", "b", "node"), ["a", "b"]).filter("id <> node").select("id")
     return scratch.keep(far.unionByName(equal).distinct(), "copies")
+
+
+def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """docs(doc_id, text, ...) with one row of each group of near copies: the smallest id's.
+
+    Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more. Of rows that repeat
+    id and text one stays. Rows with a null id cannot be named as a group's smallest: they stay, once for each
+    text. Texts without words, null or empty, are copies of each other. An empty table gives an empty result.
+    """
+    gone = copies(docs.select(F.col("doc_id").alias("id"), "text"), scratch or Scratch(docs.sparkSession))
+    return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti").dropDuplicates(["doc_id", "text"])

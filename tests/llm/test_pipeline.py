@@ -4,7 +4,7 @@ import random
 import re
 
 import corpus_pipeline
-from tessera.llm import decontaminate, pieces, similar, simhash
+from tessera.llm import decontaminate, pieces, similar
 from tessera.llm.common import Scratch
 
 DIR = "/root/testdata/sf0.001"
@@ -50,10 +50,10 @@ def test_near_copies(spark):
     texts = dict(enumerate(rows))
     data = [(i, t, "a", 1) for i, t in texts.items()] + [(None, "null id", "b", 2), (None, "null id", "b", 2), (0, texts[0], "a", 1)]
     docs = spark.createDataFrame(data, "doc_id long, text string, id string, root int")
-    kept = [r["doc_id"] for r in simhash.one_of_each(docs).collect()]
+    kept = [r["doc_id"] for r in similar.one_of_each(docs).collect()]
     assert len(kept) == len(set(kept)) and set(kept) - {None} == smallest_of_groups(texts)
     assert None in kept
-    assert simhash.one_of_each(docs.limit(0)).count() == 0
+    assert similar.one_of_each(docs.limit(0)).count() == 0
 
 
 def test_blocks_and_forest(spark):
@@ -64,9 +64,8 @@ def test_blocks_and_forest(spark):
         root = [root[x] if r == root[y] else r for r in root]
     assert len({root[k] for k in range(5)}) == 1 and root[5] == root[6] and root[8] == root[9] and len(set(root)) == 4
     docs = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(k, k + 90))) for k in range(0, 120, 4)], "id long, text string")
-    links = spark.createDataFrame([(k, 0) for k in range(4, 120, 4)], "u long, v long")
     for block in (300, 10**6):
-        gone = similar.copies(docs, links, Scratch(spark), block=block)
+        gone = similar.copies(docs, Scratch(spark), block=block)
         assert {r["id"] for r in gone.collect()} == set(range(4, 120, 4))
 
 
