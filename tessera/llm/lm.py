@@ -1,27 +1,35 @@
-"""Language-model scoring: corpus counts in Spark, a compact trie broadcast, whole texts scored.
-
-Counts cover every training text. Words, pairs and triples with at least the share RARE of all tokens
-enter the trie: there are at most 1 / RARE of each, whatever the corpus, which bounds what is broadcast. A
-frequent pair has frequent words and a frequent triple frequent pairs, so each pass counts only what can be
-frequent, and exactly. All other words (the tail) keep their exact unigram counts in a table
-that documents' tail words are joined with.
+"""Language-model scoring: corpus counts in Spark, n-gram values in shared tables, whole texts scored.
+
+Words, pairs and triples seen at least LEAST times in the training texts make the model, whatever the
+corpus. A kept n-gram's log-probability and back-off weights are written as one value such that a text's score is its
+unigram score and the sum of the values of its words, pairs and triples; an n-gram without a value adds nothing. So scoring
+is a join by n-gram, whose size grows with the corpus and whose keys have no common context. Values with at least the
+share RARE of all tokens, at most 3 / RARE of them, are broadcast and looked up at once, which changes no result
+and leaves no key heavy. A bitmap of BITS bits passes every key that has a value, and few others while the
+values are fewer than its bits. N-grams are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, fold, shared, table, words
 from tessera.llm.triefile import Trie
 
+#: An n-gram seen so often in the training texts has a value, at any corpus size.
+LEAST = 2
+#: The share of all tokens from which a word or value is broadcast.
 RARE = 1e-6
+BITS = 1 << 27
 #: The end of a text, and what stands before its first word. No word holds a line's end.
 END = b"\n"
 FOLDS, HELD_OUT = 7, 2
@@ -98,6 +106,159 @@ def _gram_counts(texts: DataFrame, keys) -> DataFrame:
     return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+class _Hashes(dict):
+    """Words' hashes, equal to Spark's xxhash64 of the word."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, 42)
+        return out
+
+
+def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit key of each ordered pair of 64-bit keys."""
+    u = np.uint64
+    x = a.view(u) * u(0x9E3779B97F4A7C15) + b.view(u) + u(salt)
+    x = (x ^ (x >> u(29))) * u(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> u(32))) * u(0x94D049BB133111EB)
+    return (x ^ (x >> u(31))).view(np.int64)
+
+
+def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _mix(a, b, 2)
+
+
+def _triple_key(ab: np.ndarray, bc: np.ndarray) -> np.ndarray:
+    return _mix(ab, bc, 3)
+
+
+def _hashed(part: list[list[bytes]], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of texts, END before and after each; and where each pair that lies in one text begins."""
+    end = np.array([hashes[END]], np.uint64).view(np.int64)[0]
+    sizes = np.fromiter(map(len, part), np.int64, len(part))
+    starts = np.concatenate(([0], np.cumsum(sizes + 2)))[:-1]
+    seq = np.full(int(sizes.sum()) + 2 * len(part), end, np.int64)
+    inner = np.ones(len(seq), bool)
+    inner[starts] = inner[starts + sizes + 1] = False
+    seq[inner] = np.fromiter(map(hashes.__getitem__, chain.from_iterable(part)), np.uint64, int(sizes.sum())).view(np.int64)
+    pair = np.ones(max(len(seq) - 1, 0), bool)
+    pair[starts[1:] - 1] = False
+    return seq, pair
+
+
+def _couples(texts: DataFrame, couples) -> DataFrame:
+    """(x, y, n) of couples(part, hashes) over all texts, n at least LEAST; summed per task before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, hashes = [], 0, _Hashes()
+
+        def summed() -> list[np.ndarray]:
+            x, y, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            if not len(x):
+                return [x, y, n]
+            order = np.lexsort((y, x))  # neighbours alike, which the shuffle packs well
+            x, y, n = x[order], y[order], n[order]
+            first = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
+            return [x[first], y[first], np.add.reduceat(n, first)]
+
+        def out() -> Iterator[pa.RecordBatch]:
+            got = summed()
+            for a in range(0, len(got[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000]) for c in got], names=["x", "y", "n"])
+
+        for part in _texts(batches):
+            x, y = couples(part, hashes)
+            held.append([x, y, np.ones(len(x), np.int64)])
+            size += len(x)
+            if size > 4_000_000:
+                yield from out()
+                held, size = [], 0
+        if held:
+            yield from out()
+
+    got = texts.mapInArrow(run, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n"))
+    return got.filter(F.col("n") >= LEAST)
+
+
+def _keyed(couples: DataFrame, key) -> DataFrame:
+    """With the key of (x, y)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(key(b.column(0).to_numpy(), b.column(1).to_numpy())), *b.columns], names=["key", "x", "y", "n"])
+
+    return couples.mapInArrow(run, "key long, x long, y long, n long")
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bit key mod BITS is set for each key; at most BITS / 64 rows come to the driver."""
+    at = F.col("key").bitwiseAND(F.lit(BITS - 1))
+    got = keys.groupBy(F.shiftright(at, 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.int64)
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    return out
+
+
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return (bits[(keys & (BITS - 1)) >> 6] >> (keys & 63)) & 1 == 1
+
+
+def _free(spark) -> None:
+    """Shuffles of written tables go from the disks once nothing refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def gram_values(texts: DataFrame, counts: DataFrame, norm: int, scratch: Scratch) -> DataFrame:
+    """(key, n, v): a written table of the words, pairs and triples that are kept. norm: what unigram counts + 1 are divided by.
+
+    With p(c | a, b) = p3 of a kept triple, else w2(a, b) p2 of a kept pair, else w2(a, b) w1(b) p1(c): a
+    pair's value is log10 p2 - log10 p1 - log10 w1 + log10 w2, a triple's log10 p3 - log10 p2 - log10 w2.
+    """
+    spark, tiny = texts.sparkSession, F.lit(1e-12)
+    rest = lambda p, q: F.log10(F.greatest(1 - F.sum(p), tiny) / F.greatest(1 - F.sum(q), tiny))
+    p = lambda whole: (F.col("n") - 0.5) / F.greatest(F.col(whole), F.col("n"))
+
+    def pairs_of(part, hashes):
+        seq, pair = _hashed(part, hashes)
+        return seq[:-1][pair], seq[1:][pair]
+
+    known = counts.filter(F.col("n") >= LEAST).select(F.xxhash64("word").alias("h"), F.col("n").alias("n1"))
+    pairs = scratch.keep(_keyed(_couples(texts, pairs_of), _pair_key), "pairs")
+    pairs2 = pairs.join(known.withColumnRenamed("h", "x"), "x").withColumn("p2", p("n1")).drop("n1")
+    pairs2 = pairs2.join(known.select(F.col("h").alias("y"), ((F.col("n1") + 1) / norm).alias("p1")), "y")
+    pairs2 = scratch.keep(pairs2.select("key", "x", "n", "p2", "p1"), "pairs2")
+    scratch.drop(pairs)
+    _free(spark)
+    bits = shared(spark, _bitmap(pairs2))  # BITS bits
+
+    def triples_of(part, hashes):
+        seq, pair = _hashed(part, hashes)
+        keys = _pair_key(seq[:-1], seq[1:])
+        good = pair & _passes(bits(), keys)
+        both = good[:-1] & good[1:]
+        return keys[:-1][both], keys[1:][both]
+
+    triples = scratch.keep(_keyed(_couples(texts, triples_of), _triple_key), "triples")
+    _free(spark)
+    triples3 = triples.join(pairs2.select(F.col("key").alias("x"), F.col("n").alias("n2")), "x").withColumn("p3", p("n2"))
+    triples3 = triples3.join(pairs2.select(F.col("key").alias("y"), "p2"), "y").select("key", "x", "n", "p3", "p2")
+    triples3 = scratch.keep(triples3, "triples3")
+    scratch.drop(triples)
+    w1 = scratch.keep(pairs2.groupBy("x").agg(rest("p2", "p1").alias("w1")), "w1")
+    w2 = scratch.keep(triples3.groupBy("x").agg(rest("p3", "p2").alias("w2")), "w2")
+    log = lambda c: F.log10(F.col(c))
+    of_words = w1.join(known.withColumnRenamed("h", "x"), "x").select(F.col("x").alias("key"), F.col("n1").alias("n"), F.col("w1").alias("v"))
+    of_pairs = pairs2.join(w1, "x").join(w2.withColumnRenamed("x", "key"), "key", "left")
+    of_pairs = of_pairs.select("key", "n", (log("p2") - log("p1") - F.col("w1") + F.coalesce("w2", F.lit(0.0))).alias("v"))
+    of_triples = triples3.join(w2, "x").select("key", "n", (log("p3") - log("p2") - F.col("w2")).alias("v"))
+    out = scratch.keep(of_words.union(of_pairs).union(of_triples), "values")
+    scratch.drop(pairs2, triples3, w1, w2)
+    _free(spark)
+    return out
+
+
 def _frequent(grams: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys and counts; at most 1 / RARE rows come to the driver."""
     got = grams.filter(F.col("n") >= least).toArrow()
@@ -121,7 +282,10 @@ class Model:
 
 
 def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> tuple[Model, DataFrame]:
-    """(model, counts) of texts(text); counts(word, n) is a written table of all words."""
+    """(model, counts) of texts(text), the model one trie of what has at least the share rare of all tokens.
+
+    For texts whose n-grams fit one machine; lm_scores does not use it. counts(word, n) is a written table of all words.
+    """
     spark = texts.sparkSession
     counts = scratch.keep(word_counts(texts), "words")
     tokens, kinds = counts.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -163,58 +327,89 @@ def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> tuple[Model
     return Model(vocabulary, many, tokens, kinds, trie.dump()), counts
 
 
-def score_texts(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) -> DataFrame:
+class Cache:
+    """Words and values with at least the share rare of all tokens, and the bitmap of all other values' keys."""
+
+    def __init__(self, words_: pa.Table, values: pa.Table, bits: np.ndarray, norm: int):
+        self.words, self.bits = dict(zip(words_.column("word").to_pylist(), words_.column("n").to_pylist(), strict=True)), bits
+        self.log = {w: float(np.log10((n + 1) / norm)) for w, n in self.words.items()}
+        keys, v = values.column("key").to_numpy(), values.column("v").to_numpy()
+        order = np.argsort(keys)
+        self.keys, self.v = keys[order], v[order]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each key's value, 0 where it is not here; and which keys have theirs in the table, if any."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), _passes(self.bits, keys)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        here = self.keys[place] == keys
+        return np.where(here, self.v[place], 0.0), ~here & _passes(self.bits, keys)
+
+
+def score_texts(docs: DataFrame, counts: DataFrame, values: DataFrame, tokens: int, norm: int, scratch: Scratch, rare: float = RARE) -> DataFrame:
     """docs(doc_id, text) with n_tokens, n_known, base_score and score."""
-    get = shared(docs.sparkSession, model)  # bounded: at most 1 / RARE words, pairs and triples
+    least = max(LEAST, int(np.ceil(rare * tokens)))
+    often = F.col("n") >= least
+    cache = Cache(counts.filter(often).toArrow(), values.filter(often).select("key", "v").toArrow(), _bitmap(values.filter(~often)), norm)
+    get = shared(docs.sparkSession, cache)  # bounded: at most 1 / rare words, pairs and triples each, and BITS bits
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        m, number = get().open(), TaskContext.get().partitionId() << 40
+        m, hashes, number = get(), _Hashes(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 part = [words(t.as_py()) for t in rows.column(1)]
-                seq, starts = _numbers(part, m.ids)
-                logs = m.levels.score(seq, starts, m.log1)
-                known = seq >= 0
-                plain = np.where(known, m.log1[seq], 0.0)
-                plain[starts] = 0.0
-                seen = known & (m.counts[seq] > 0)
-                seen[starts] = False
-                sums = [np.add.reduceat(v, starts) for v in (plain, logs, seen.astype(np.int64))]
-                tails = [Counter(w for w in own if w not in m.ids) for own in part]
+                seq, pair = _hashed(part, hashes)
+                keys = _pair_key(seq[:-1], seq[1:])
+                both = np.flatnonzero(pair[:-1] & pair[1:])
+                owner = np.repeat(np.arange(len(part)), [len(w) + 2 for w in part])[:-1]
+                # The last end of a text is no context.
+                found = np.concatenate((seq[:-1][pair], keys[pair], _triple_key(keys[both], keys[both + 1])))
+                owners = np.concatenate((owner[pair], owner[pair], owner[both]))
+                v, later = m.find(found)
+                inner = np.bincount(owners, v, len(part))
+                order = np.argsort(owners[later], kind="stable")
+                cuts = np.concatenate(([0], np.cumsum(np.bincount(owners[later], minlength=len(part))))).astype(np.int32)
+                own = [[*w, END] for w in part]
+                tails = [Counter(w for w in one if w not in m.words) for one in own]
+                plain = [sum(map(m.log.get, (w for w in one if w in m.log))) for one in own]
                 ends = np.concatenate(([0], np.cumsum([len(t) for t in tails]))).astype(np.int32)
                 lists = [
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(found[later][order])),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array([w for t in tails for w in t], pa.binary())),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array([n for t in tails for n in t.values()], pa.int64())),
                 ]
                 numbers = pa.array(np.arange(number, number + len(part)), pa.int64())
                 number += len(part)
-                sizes = pa.array([len(w) + 1 for w in part], pa.int64())
+                sizes = pa.array([len(one) for one in own], pa.int64())
+                seen = pa.array([len(one) - sum(t.values()) for one, t in zip(own, tails, strict=True)], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), numbers, sizes, pa.array(sums[2], pa.int64()), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                    names=["doc_id", "row", "n_tokens", "seen", "plain", "inner", "tail", "times"],
+                    [rows.column(0), numbers, sizes, seen, pa.array(plain, pa.float64()), pa.array(inner, pa.float64()), *lists],
+                    names=["doc_id", "row", "n_tokens", "seen", "plain", "inner", "keys", "tail", "times"],
                 )
 
-    schema = f"doc_id {kind}, row long, n_tokens long, seen long, plain double, inner double, tail array<binary>, times array<long>"
+    schema = f"doc_id {kind}, row long, n_tokens long, seen long, plain double, inner double, keys array<long>, tail array<binary>, times array<long>"
     parts = scratch.keep(docs.select("doc_id", "text").mapInArrow(run, schema), "parts")
     tail = parts.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
     n = F.coalesce(F.col("n"), F.lit(0))
     rest = tail.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(model.tokens + model.kinds + 1)))).alias("rest"),
+        F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(norm)))).alias("rest"),
     )
-    zero = F.coalesce("rest", F.lit(0.0))
-    return parts.drop("tail", "times").join(rest, "row", "left").select(
+    grams = parts.select("row", F.explode("keys").alias("key")).join(values.filter(~often).select("key", "v"), "key")
+    grams = grams.groupBy("row").agg(F.sum("v").alias("grams"))
+    base = F.col("plain") + F.coalesce("rest", F.lit(0.0))
+    return parts.drop("keys", "tail", "times").join(rest, "row", "left").join(grams, "row", "left").select(
         "doc_id", "n_tokens", (F.col("seen") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        (F.col("plain") + zero).alias("base_score"), (F.col("inner") + zero).alias("score"),
+        base.alias("base_score"), (base + F.col("inner") + F.coalesce("grams", F.lit(0.0))).alias("score"),
     )
 
 
 def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RARE) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row; rare changes the cost only.
 
     Learns from documents whose crc32(doc_id) mod 7 is not 2 and scores all. A null or empty text is its end
     alone. Equal texts score equally; repeated rows are texts of their own; a null doc_id counts as the empty
@@ -222,9 +417,12 @@ def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RAR
     """
     scratch = scratch or Scratch(docs.sparkSession)
     held = fold(F.col("doc_id"), FOLDS) == HELD_OUT
-    model, counts = train(docs.filter(~held).select("text"), scratch, rare)
-    out = score_texts(docs, model, counts, scratch)
-    return out.withColumn("held_out", held).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    texts = docs.filter(~held).select("text")
+    counts = scratch.keep(word_counts(texts), "words")
+    tokens, kinds = (x or 0 for x in counts.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first())
+    norm = tokens + kinds + 1
+    out = score_texts(docs, counts, gram_values(texts, counts, norm, scratch), tokens, norm, scratch, rare)
+    return out.withColumn("held_out", held).withColumn("train_tokens", F.lit(tokens).cast("long"))
 
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -213,3 +213,21 @@ def test_lm_sums_to_one_and_matches_counts(spark, tmp_path):
             total += 10 ** logs[-1] * (1 - (10**m.log1).sum() if w < 0 else 1)
         assert abs(total - 1) < 2e-3
     assert lm.lm_scores(df.limit(0)).count() == 0
+
+
+def test_lm_scores_keep_every_context_at_any_share(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdefghij"), rng.integers(0, 40))) for _ in range(60)] + ["a rare known context"] * 3 + ["", None]
+    df = docs(spark, texts)
+    all_here = {r["doc_id"]: r for r in lm.lm_scores(df).collect()}
+    joined = {r["doc_id"]: r for r in lm.lm_scores(df, rare=0.9).collect()}
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    model, _ = lm.train(docs(spark, train).select("text"), Scratch(spark))  # everything seen twice
+    model.open()
+    for i, t in enumerate(texts):
+        seq, starts = lm._numbers([words(t)], model.ids)
+        unknown = sum(w not in model.ids for w in words(t))
+        assert abs(joined[i]["score"] - all_here[i]["score"]) < 1e-9 and joined[i]["n_known"] == all_here[i]["n_known"]
+        if not unknown:
+            assert abs(joined[i]["score"] - model.levels.score(seq, starts, model.log1).sum()) < 1e-2
+    assert abs(joined[60]["score"] - joined[60]["base_score"]) > 1
