@@ -6,7 +6,8 @@ distance over the first d of D columns estimates the whole. Candidates whose par
 large for the threshold fail a hypothesis test (after Gao and Long 2023) and are abandoned; the rest are
 measured exactly on the original vectors. The threshold starts at the k-th best of a broadcast
 sample, which bounds the k-th of the probed lists from the start. Vectors without structure have their
-neighbours in many lists, so three quarters are probed (measured recall: README).
+neighbours in many lists, so three quarters are probed (measured recall: README). Vectors that are alike are
+abandoned together, so a query left with fewer than k scans its lists again without the test.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ SAMPLE = 10_000
 LISTS, SHARE, LEAST = 512, 0.75, 8
 #: Most vectors, and queries, that meet in one task, about.
 VECTORS, QUERIES = 4096, 2048
-#: Deviations above the mean at which the hypothesis test abandons a candidate.
-Z = 2.5
+#: e of the hypothesis test.
+EPSILON = 3.0
 
 
 def usable(vec: Column) -> Column:
@@ -105,13 +106,13 @@ class Index:
     def limit(self, bound, done: int):
         """What a partial distance over done columns may be if the whole is within the bound.
 
-        Under a random rotation the share of a squared length in d of D columns has mean d / D and this variance;
-        a share Z deviations above it is held against the candidate.
+        Under a random rotation the share of a squared length in d of D columns has mean d / D; a share beyond
+        (1 + e / sqrt(d))^2 times that is held against the candidate.
         """
         dim = self.blocks[-1].stop
         if done >= dim:
             return bound * (1 + 1e-9) + 1e-9
-        return bound * (done / dim + Z * np.sqrt(2 * done * (dim - done) / (dim * dim * (dim + 2)))) + 1e-9
+        return bound * (done / dim) * (1 + EPSILON / np.sqrt(done)) ** 2 + 1e-9
 
     def scan(self, ids, x, t, asks, q, t_q, bounds) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(positions, scores) of the best k of one block of vectors for each query.
@@ -199,14 +200,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     fields = [*rows.schema.fields[:2], T.StructField("list", T.IntegerType()), T.StructField("bound", T.DoubleType())]
     probes = scratch.keep(indexed.filter("asks").select("id", "vec").mapInArrow(probe, T.StructType(fields)), "probes")
-    asked = {r[0]: r[1] for r in probes.groupBy("list").count().collect()}
-    # How many blocks of vectors and of queries a list has, LISTS rows at most: every two of them meet.
-    plan = [(i, int(-(-index.sizes[i] // VECTORS)), -(-asked[i] // QUERIES)) for i in sorted(asked) if index.sizes[i]]
-    plan = F.broadcast(spark.createDataFrame(plan, "list int, vs int, qs int"))
     deal = lambda n: F.pmod(F.xxhash64("id", F.lit(11)), F.col(n)).cast("int")
     across = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = indexed.join(plan, "list").select("list", deal("vs").alias("v"), across("qs").alias("q"), "id", "vec")
-    right = probes.join(plan, "list").select("list", across("vs").alias("v"), deal("qs").alias("q"), "id", "vec", "bound")
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         got = ([], [], [])
@@ -224,7 +219,24 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         return pa.table([pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(arrays, kinds, strict=True)], names=["query_id", "vec_id", "score"])
 
     cells = ["list", "v", "q"]
-    found = left.groupBy(cells).cogroup(right.groupBy(cells)).applyInArrow(meet, out)
+
+    def scanned(probes: DataFrame) -> DataFrame:
+        asked = {r[0]: r[1] for r in probes.groupBy("list").count().collect()}
+        # How many blocks of vectors and of queries a list has, LISTS rows at most: every two of them meet.
+        plan = [(i, int(-(-index.sizes[i] // VECTORS)), -(-asked[i] // QUERIES)) for i in sorted(asked) if index.sizes[i]]
+        plan = F.broadcast(spark.createDataFrame(plan, "list int, vs int, qs int"))
+        left = indexed.join(plan, "list").select("list", deal("vs").alias("v"), across("qs").alias("q"), "id", "vec")
+        right = probes.join(plan, "list").select("list", across("vs").alias("v"), deal("qs").alias("q"), "id", "vec", "bound")
+        return left.groupBy(cells).cogroup(right.groupBy(cells)).applyInArrow(meet, out)
+
+    found = scratch.keep(scanned(probes), "found")
+    # Where no bound was known nothing was abandoned.
+    short = probes.filter(F.col("bound") < float("inf")).select(F.col("id").alias("query_id")).distinct()
+    short = short.join(found.groupBy("query_id").count(), "query_id", "left").filter(F.coalesce("count", F.lit(0)) < k)
+    short = scratch.keep(short.select("query_id"), "short")
+    if short.take(1):
+        again = probes.join(short.withColumnRenamed("query_id", "id"), "id", "left_semi").select("id", "vec", "list", F.lit(float("inf")).alias("bound"))
+        found = found.join(short, "query_id", "left_anti").unionByName(scanned(again))
     # At most k rows for a query and cell come here.
     return (
         found.groupBy("query_id")

@@ -231,3 +231,19 @@ def test_lm_scores_keep_every_context_at_any_share(spark):
         if not unknown:
             assert abs(joined[i]["score"] - model.levels.score(seq, starts, model.log1).sum()) < 1e-2
     assert abs(joined[60]["score"] - joined[60]["base_score"]) > 1
+
+
+def test_neighbours_that_are_abandoned_together_are_scanned_again(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    one = rng.standard_normal(16)
+    rows = [(i, [float(v) for v in (one if i % 3 == 0 else rng.standard_normal(16))]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    # A test that abandons nearly all candidates stands for copies whose partial sums exceed it together.
+    limit = ann.Index.limit
+    monkeypatch.setattr(ann.Index, "limit", lambda self, bound, done: np.where(np.isinf(bound), bound, limit(self, bound, done) * 0.01))
+    got = ann.search(df, F.col("vec_id") % 20 == 0, share=1.0).collect()
+    x = {i: np.float32(v).astype(float) for i, v in rows}
+    for q in (i for i in x if i % 20 == 0):
+        want = sorted((i for i in x if i != q), key=lambda i: (-(x[i] @ x[q]), i))[:20]
+        own = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert len(own) == 20 and all(abs(r["score"] - x[w] @ x[q]) < 1e-6 for r, w in zip(own, want, strict=True))
