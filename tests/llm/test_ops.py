@@ -247,3 +247,14 @@ def test_neighbours_that_are_abandoned_together_are_scanned_again(spark, monkeyp
         want = sorted((i for i in x if i != q), key=lambda i: (-(x[i] @ x[q]), i))[:20]
         own = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
         assert len(own) == 20 and all(abs(r["score"] - x[w] @ x[q]) < 1e-6 for r, w in zip(own, want, strict=True))
+
+
+def test_html_keeps_sisters_and_every_article(spark):
+    long, short = "long varying text number {0} " * 8, "short varying text {0}"
+    pages = [f"<div><div class=a><h1>Head {{0}}</h1></div><div class=b><p>{long}</p></div><div class=c><p>{short}</p></div></div>", f"<article><p>{long}</p></article><article><p>{short}</p></article>"]
+    rows = [(10 * h + i, f"http://{h}.org/{i}", page.format(i)) for h, page in enumerate(pages) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        text = (long * 1).format(i).strip()
+        assert got[i] == f"Head {i}\n\n{text}\n\n{short.format(i)}"
+        assert got[10 + i] == f"{text}\n\n{short.format(i)}"
