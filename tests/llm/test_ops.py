@@ -258,3 +258,11 @@ def test_html_keeps_sisters_and_every_article(spark):
         text = (long * 1).format(i).strip()
         assert got[i] == f"Head {i}\n\n{text}\n\n{short.format(i)}"
         assert got[10 + i] == f"{text}\n\n{short.format(i)}"
+
+
+def test_html_drops_what_a_host_repeats_inside_articles(spark):
+    page = "<article><h1>Head {0}</h1><div class=xyz>Buy our book today</div><p>text {0}</p></article>"
+    rows = [(i, f"http://a.org/{i}", page.format(i)) for i in range(4)] + [(10 + i, f"http://b.org/{i}", page.format(0)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Head {i}\n\ntext {i}" for i in range(4))
+    assert all(got[10 + i] == "Head 0\n\nBuy our book today\n\ntext 0" for i in range(4))  # copies of one page show no template
