@@ -17,7 +17,7 @@ from tessera.llm.common import Scratch, lower_ascii, table
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 #: The rules stand in the plan, so they are few; more belong into a table to be joined by host suffix.
 MOST_RULES = 10_000
-DAMPING, ROUNDS, SETTLED, THRESHOLD = 0.85, 40, 1e-6, 0.6
+DAMPING, SETTLED, THRESHOLD = 0.85, 1e-6, 0.6
 
 _LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
@@ -58,10 +58,10 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return found.filter("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """seeds(host, t, d), edges(src, dst, n) -> (host, trust, distrust); it ends when a round moves less than SETTLED.
+def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
+    """seeds(host, t, d), edges(src, dst, n) -> (host, trust, distrust); it ends when a round moves less than SETTLED and reaches no new host.
 
-    Each round reads the written ranks of the one before; contributions are summed before they are shuffled.
+    Ranks that have not settled after so many rounds, if given, are an error. Each round reads the written ranks of the one before; contributions are summed before they are shuffled.
     """
     edges = scratch.keep(edges, "edges")
     ends = edges.select(F.col("src").alias("host")).union(edges.select(F.col("dst").alias("host"))).distinct()
@@ -76,7 +76,12 @@ def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: flo
     flows = scratch.keep(along.unionByName(against), "flows")
     now = scratch.keep(base.select("host", "t", "d", (F.col("t") * (1 - damping)).alias("trust"), (F.col("d") * (1 - damping)).alias("distrust"), F.lit(1.0).alias("moved")), "ranks")
     linked = flows.take(1)
-    for _ in range(rounds if linked else 0):
+    reached = F.sum((F.col("trust") > 0).cast("long") + (F.col("distrust") > 0).cast("long"))
+    done, known = 0, now.agg(reached).first()[0]
+    while linked:
+        if done == rounds:
+            raise RuntimeError(f"trust and distrust have not settled after {rounds} rounds")
+        done += 1
         given = (
             flows.join(now.select(F.col("host").alias("a"), "trust", "distrust"), "a")
             .groupBy(F.col("b").alias("host"))
@@ -92,7 +97,9 @@ def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: flo
         after = scratch.keep(new, "ranks")
         scratch.drop(now)
         now = after
-        if now.agg(F.sum("moved")).first()[0] < SETTLED:
+        before = known
+        moved, known = now.agg(F.sum("moved"), reached).first()
+        if moved < SETTLED and known == before:
             break
     return now.select("host", "trust", "distrust")
 

@@ -266,3 +266,13 @@ def test_html_drops_what_a_host_repeats_inside_articles(spark):
     got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Head {i}\n\ntext {i}" for i in range(4))
     assert all(got[10 + i] == "Head 0\n\nBuy our book today\n\ntext 0" for i in range(4))  # copies of one page show no template
+
+
+def test_propagation_goes_on_while_it_reaches_hosts_and_says_when_unsettled(spark, monkeypatch):
+    seeds = spark.createDataFrame([("h5", 0.0, 1.0)], "host string, t double, d double")
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(5)], "src string, dst string, n long")
+    with pytest.raises(RuntimeError):
+        urlfilter.propagate(seeds, edges, Scratch(spark), rounds=1)
+    monkeypatch.setattr(urlfilter, "SETTLED", 1e9)  # settled at once, but for hosts not yet reached
+    got = {r["host"]: r["distrust"] for r in urlfilter.propagate(seeds, edges, Scratch(spark)).collect()}
+    assert got["h0"] > 0
