@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,16 +83,18 @@ class Scratch:
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def shared(spark: SparkSession, value):
-    """A function that returns value on executors: one broadcast, unpickled once for each Python worker.
+def shared(spark: SparkSession, value, build: Callable | None = None):
+    """A function that returns value, or build(value), on executors: one broadcast, made once for each Python worker.
 
-    Callers state the bound of value's size.
+    Workers keep a broadcast's list over tasks, so what is made goes in there. Callers state the bound of value's size.
     """
-    raw, box = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+    raw = spark.sparkContext.broadcast([cloudpickle.dumps((value, build))])
 
     def get():
-        if not box:
-            box.append(cloudpickle.loads(raw.value))
-        return box[0]
+        held = raw.value
+        if len(held) == 1:
+            own, make = cloudpickle.loads(held[0])
+            held.append(make(own) if make else own)
+        return held[1]
 
     return get
