@@ -1,35 +1,43 @@
-"""Language-model scoring: corpus counts in Spark, n-gram values in shared tables, whole texts scored.
-
-Words, pairs and triples seen at least LEAST times in the training texts make the model, whatever the
-corpus. A kept n-gram's log-probability and back-off weights are written as one value such that a text's score is its
-unigram score and the sum of the values of its words, pairs and triples; an n-gram without a value adds nothing. So scoring
-is a join by n-gram, whose size grows with the corpus and whose keys have no common context. Values with at least the
-share RARE of all tokens, at most 3 / RARE of them, are broadcast and looked up at once, which changes no result
-and leaves no key heavy. A bitmap of BITS bits passes every key that has a value, and few others while the
-values are fewer than its bits. N-grams are known by 64-bit hashes.
+"""Language-model scoring: corpus counts in Spark, a sharded n-gram trie in the shared folder, whole texts scored.
+
+Words, pairs and triples seen at least LEAST times in the training texts make the model, whatever the corpus; n-grams
+are known by 64-bit hashes. Absolute discounting, interpolated: with a(y|x) = (n(xy) - D) / n(x) of a kept pair, 0 of
+another, and l(x) = 1 - sum of a(y|x), p(y|x) = a(y|x) + l(x) p(y); a triple's a(z|xy) and l(xy) likewise over p(z|y). So
+log10 p of a text is its unigram score and a sum of values: log l(x) for each word x that something follows,
+log p(y|x) - log p(y) - log l(x) for a kept pair and log l(xy) for it as a context, log p(z|xy) - log l(xy) - log p(z|y) for a kept
+triple.
+
+The trie is dealt into shards by context, a context with the share RARE of all tokens or more by its successors too, so
+none is hot. Words, pairs and triples with that share, at most 3 / RARE of them, are broadcast and
+answered where the text is read, which changes no result and leaves no key heavy; for the rest each shard answers the
+queries that are sent to it. Counts and queries are shuffled as packed sorted arrays, one for each shard and
+task. Bitmaps of BITS bits pass every n-gram that is kept, and few others while these are fewer than its bits.
 """
 
 from __future__ import annotations
 
 import gc
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, fold, shared, table, words
-from tessera.llm.triefile import Trie
+from tessera.llm.common import Scratch, fold, shared, shuffle_partitions, table, words
+from tessera.llm.triefile import Trie, short_key
 
-#: An n-gram seen so often in the training texts has a value, at any corpus size.
+#: An n-gram seen so often in the training texts is kept, at any corpus size.
 LEAST = 2
-#: The share of all tokens from which a word or value is broadcast.
+DISCOUNT = 0.5
+#: The share of all tokens from which an n-gram is broadcast.
 RARE = 1e-6
 BITS = 1 << 27
+#: About how many tokens' n-grams one shard holds, and how many n-grams a task gathers before it sends them.
+SHARD, GATHERED = 1 << 21, 4_000_000
 #: The end of a text, and what stands before its first word. No word holds a line's end.
 END = b"\n"
 FOLDS, HELD_OUT = 7, 2
@@ -62,50 +70,6 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _numbers(part: list[list[bytes]], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of texts, END before and after each, -1 outside the vocabulary; and where texts start."""
-    end, sizes = ids[END], np.fromiter(map(len, part), np.int64, len(part))
-    starts = np.concatenate(([0], np.cumsum(sizes + 2)))[:-1]
-    seq = np.full(int(sizes.sum()) + 2 * len(part), end, np.int64)
-    inner = np.ones(len(seq), bool)
-    inner[starts] = inner[starts + sizes + 1] = False
-    seq[inner] = np.fromiter((ids.get(w, -1) for w in chain.from_iterable(part)), np.int64, int(sizes.sum()))
-    return seq, starts
-
-
-def _gram_counts(texts: DataFrame, keys) -> DataFrame:
-    """(key, n) of keys(part) over all texts; summed per task before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            k, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(k, kind="stable")
-            k, n = k[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
-            return k[first], np.add.reduceat(n, first) if len(k) else n
-
-        def out(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(k), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["key", "n"])
-
-        for part in _texts(batches):
-            k, n = np.unique(keys(part), return_counts=True)
-            held.append((k, n.astype(np.int64)))
-            size += len(k)
-            if size > 4_000_000:
-                held = [summed()]
-                size = len(held[0][0])
-                if size > 2_000_000:
-                    yield from out(*held.pop())
-                    size = 0
-        if held:
-            yield from out(*summed())
-
-    return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
 class _Hashes(dict):
     """Words' hashes, equal to Spark's xxhash64 of the word."""
 
@@ -116,21 +80,32 @@ class _Hashes(dict):
         return out
 
 
-def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
-    """A 64-bit key of each ordered pair of 64-bit keys."""
+def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A key >= 0 of each ordered pair of word hashes."""
     u = np.uint64
-    x = a.view(u) * u(0x9E3779B97F4A7C15) + b.view(u) + u(salt)
+    x = a.view(u) * u(0x9E3779B97F4A7C15) + b.view(u) + u(2)
     x = (x ^ (x >> u(29))) * u(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> u(32))) * u(0x94D049BB133111EB)
-    return (x ^ (x >> u(31))).view(np.int64)
+    return ((x ^ (x >> u(31))) >> u(1)).view(np.int64)
 
 
-def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _mix(a, b, 2)
+def _triple_key(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
+    """A key >= 0 of two pairs that share a word; triple_key() is the same in SQL."""
+    return k1 ^ ((k2 << 1 | k2 >> 62) & 0x7FFFFFFFFFFFFFFF)
+
+
+def triple_key(k1: Column, k2: Column) -> Column:
+    turned = F.shiftleft(k2, 1).bitwiseOR(F.shiftright(k2, 62)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    return k1.bitwiseXOR(turned)
+
+
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """A key's shard, by its high bits; part_of() is the same in SQL."""
+    return ((keys >> 31) * parts) >> 32
 
 
-def _triple_key(ab: np.ndarray, bc: np.ndarray) -> np.ndarray:
-    return _mix(ab, bc, 3)
+def part_of(key: Column, parts: int) -> Column:
+    return F.shiftright(F.shiftright(key, 31) * F.lit(parts).cast("long"), 32).cast("int")
 
 
 def _hashed(part: list[list[bytes]], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]:
@@ -147,54 +122,89 @@ def _hashed(part: list[list[bytes]], hashes: _Hashes) -> tuple[np.ndarray, np.nd
     return seq, pair
 
 
-def _couples(texts: DataFrame, couples) -> DataFrame:
-    """(x, y, n) of couples(part, hashes) over all texts, n at least LEAST; summed per task before the shuffle."""
+def _pack(*arrays: np.ndarray) -> bytes:
+    return np.array([len(a) for a in arrays], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
+
+
+def _unpack(data, kinds: tuple) -> list[np.ndarray]:
+    sizes, at, out = np.frombuffer(data, np.int64, len(kinds)), 8 * len(kinds), []
+    for n, kind in zip(sizes.tolist(), kinds, strict=True):
+        out.append(np.frombuffer(data, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
+def _dealt(part: np.ndarray, *keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, its rows sorted by the first key) of each shard."""
+    order = np.lexsort((keys[0], part))
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    for own in np.split(order, cuts) if len(order) else ():
+        yield int(part[own[0]]), own
+
+
+def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each stands there."""
+    first = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
+    return sorted_keys[first], np.diff(np.concatenate((first, [len(sorted_keys)]))).astype(np.int32)
+
+
+_COUNTED = (np.int64, np.int32, np.int64, np.int32)
+
+
+def _summed(x: np.ndarray, y: np.ndarray, n: np.ndarray, key: Callable) -> list[np.ndarray]:
+    """Rows (x, y, n) with equal key(x, y) as one, sorted by key: x, y, n, key."""
+    k = key(x, y)
+    order = np.argsort(k)
+    x, y, n, k = x[order], y[order], n[order], k[order]
+    if not len(k):
+        return [x, y, n, k]
+    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    return [x[first], y[first], np.add.reduceat(n, first), k[first]]
+
+
+def _counted(texts: DataFrame, couples: Callable, key: Callable, route: Callable, parts: int) -> DataFrame:
+    """(part, data): packed counts of couples(part, hashes) -> (x, y) over all texts, summed per task, dealt by route(x, key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, hashes = [], 0, _Hashes()
 
-        def summed() -> list[np.ndarray]:
-            x, y, n = (np.concatenate(c) for c in zip(*held, strict=True))
-            if not len(x):
-                return [x, y, n]
-            order = np.lexsort((y, x))  # neighbours alike, which the shuffle packs well
-            x, y, n = x[order], y[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
-            return [x[first], y[first], np.add.reduceat(n, first)]
-
         def out() -> Iterator[pa.RecordBatch]:
-            got = summed()
-            for a in range(0, len(got[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000]) for c in got], names=["x", "y", "n"])
+            x, y = (np.concatenate(c) for c in zip(*held, strict=True))
+            x, y, n, k = _summed(x, y, np.ones(len(x), np.int64), key)
+            for shard, own in _dealt(_part(route(x, k), parts), x):
+                distinct, many = _runs(x[own])
+                data = _pack(distinct, many, y[own], n[own].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([data], pa.binary())], names=["part", "data"])
 
         for part in _texts(batches):
-            x, y = couples(part, hashes)
-            held.append([x, y, np.ones(len(x), np.int64)])
-            size += len(x)
-            if size > 4_000_000:
+            held.append(couples(part, hashes))
+            size += len(held[-1][0])
+            if size > GATHERED:
                 yield from out()
                 held, size = [], 0
         if held:
             yield from out()
 
-    got = texts.mapInArrow(run, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n"))
-    return got.filter(F.col("n") >= LEAST)
-
+    return texts.mapInArrow(run, "part int, data binary")
 
-def _keyed(couples: DataFrame, key) -> DataFrame:
-    """With the key of (x, y)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(key(b.column(0).to_numpy(), b.column(1).to_numpy())), *b.columns], names=["key", "x", "y", "n"])
-
-    return couples.mapInArrow(run, "key long, x long, y long, n long")
+def _whole(column: pa.ChunkedArray, key: Callable) -> list[np.ndarray]:
+    """The counts of one shard, those seen LEAST times: x, y, n, key."""
+    rows = [_unpack(b.as_buffer(), _COUNTED) for b in column]
+    if not rows:
+        return [np.empty(0, np.int64)] * 4
+    x = np.concatenate([np.repeat(r[0], r[1]) for r in rows])
+    y, n = (np.concatenate([r[k] for r in rows]) for k in (2, 3))
+    got = _summed(x, y, n.astype(np.int64), key)
+    kept = got[2] >= LEAST
+    return [c[kept] for c in got]
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
     """Bit key mod BITS is set for each key; at most BITS / 64 rows come to the driver."""
     at = F.col("key").bitwiseAND(F.lit(BITS - 1))
-    got = keys.groupBy(F.shiftright(at, 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
+    got = keys.select(F.shiftright(at, 6).alias("at"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
+    got = got.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(BITS // 64, np.int64)
     out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
     return out
@@ -204,207 +214,316 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(keys & (BITS - 1)) >> 6] >> (keys & 63)) & 1 == 1
 
 
+def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where keys stand, or might; and which do."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
+    got = df.select(*names).toArrow()
+    cols = [got.column(n).to_numpy() for n in names]
+    order = np.argsort(cols[0])
+    return [c[order] for c in cols]
+
+
 def _free(spark) -> None:
     """Shuffles of written tables go from the disks once nothing refers to them."""
     gc.collect()
     spark._jvm.System.gc()
 
 
-def gram_values(texts: DataFrame, counts: DataFrame, norm: int, scratch: Scratch) -> DataFrame:
-    """(key, n, v): a written table of the words, pairs and triples that are kept. norm: what unigram counts + 1 are divided by.
+def _attached(df: DataFrame, on: str, often: DataFrame, rest: DataFrame) -> DataFrame:
+    """df joined with the rows of often, which are broadcast, and for what they lack with those of rest: no key of the shuffle is hot."""
+    some = df.join(F.broadcast(often), on, "left")
+    last = often.columns[-1]
+    missing = some.filter(F.col(last).isNull()).select(*df.columns)
+    return some.filter(F.col(last).isNotNull()).unionByName(missing.join(rest, on))
+
+
+class Model:
+    """What scoring needs: the lexicon (word, n, w) and the trie's shards as written tables, and the broadcast share.
 
-    With p(c | a, b) = p3 of a kept triple, else w2(a, b) p2 of a kept pair, else w2(a, b) w1(b) p1(c): a
-    pair's value is log10 p2 - log10 p1 - log10 w1 + log10 w2, a triple's log10 p3 - log10 p2 - log10 w2.
+    frequent: keys, values and triples' keys and values, bounded by RARE; bits: the bitmaps of kept pairs and triples.
     """
-    spark, tiny = texts.sparkSession, F.lit(1e-12)
-    rest = lambda p, q: F.log10(F.greatest(1 - F.sum(p), tiny) / F.greatest(1 - F.sum(q), tiny))
-    p = lambda whole: (F.col("n") - 0.5) / F.greatest(F.col(whole), F.col("n"))
+
+    def __init__(self, lexicon: DataFrame, shards: DataFrame, parts: int, tokens: int, norm: int, least: int, frequent: tuple, bits: tuple):
+        self.lexicon, self.shards, self.parts, self.tokens, self.norm = lexicon, shards, parts, tokens, norm
+        self.least, self.frequent, self.bits = least, frequent, bits
+
+
+def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
+    """The model of texts(text)."""
+    spark = texts.sparkSession
+    counts = scratch.keep(word_counts(texts), "words")
+    tokens, kinds = (x or 0 for x in counts.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first())
+    norm, least = tokens + kinds + 1, max(LEAST, int(np.ceil(rare * tokens)))
+    parts = max(shuffle_partitions(spark), -(-tokens // SHARD))
+    often = F.col("n") >= least
+    log = lambda c: F.log10(c)
 
     def pairs_of(part, hashes):
         seq, pair = _hashed(part, hashes)
         return seq[:-1][pair], seq[1:][pair]
 
-    known = counts.filter(F.col("n") >= LEAST).select(F.xxhash64("word").alias("h"), F.col("n").alias("n1"))
-    pairs = scratch.keep(_keyed(_couples(texts, pairs_of), _pair_key), "pairs")
-    pairs2 = pairs.join(known.withColumnRenamed("h", "x"), "x").withColumn("p2", p("n1")).drop("n1")
-    pairs2 = pairs2.join(known.select(F.col("h").alias("y"), ((F.col("n1") + 1) / norm).alias("p1")), "y")
-    pairs2 = scratch.keep(pairs2.select("key", "x", "n", "p2", "p1"), "pairs2")
+    def pairs_kept(rows: pa.Table) -> pa.Table:
+        return pa.table(dict(zip(("x", "y", "n", "key"), _whole(rows.column("data"), _pair_key), strict=True)))
+
+    dealt = _counted(texts, pairs_of, _pair_key, lambda x, k: k, parts)
+    pairs = scratch.keep(dealt.groupBy("part").applyInArrow(pairs_kept, "x long, y long, n long, key long"), "pairs")
+    _free(spark)
+    # Every word of a text is followed by one, and END stands before each text, so n(x) is x's count.
+    mass = pairs.groupBy("x").agg(F.sum(F.col("n") - DISCOUNT).alias("mass"))
+    known = counts.withColumn("x", F.xxhash64("word")).join(mass, "x", "left")
+    w = F.coalesce(log(1 - F.col("mass") / F.col("n")), F.lit(0.0))
+    lexicon = scratch.keep(known.select("word", "n", w.alias("w"), "x"), "lexicon")
+    scratch.drop(counts)
+    heads = lexicon.filter(F.col("n") >= LEAST).select("x", F.col("n").alias("nx"), "w")
+    tails = lexicon.filter(F.col("n") >= LEAST).select(F.col("x").alias("y"), ((F.col("n") + 1) / norm).alias("p1"))
+    usual = F.col("nx") >= least
+    both = _attached(pairs, "x", heads.filter(usual), heads.filter(~usual))
+    usual = F.col("p1") >= (least + 1) / norm
+    both = _attached(both, "y", tails.filter(usual), tails.filter(~usual))
+    p2 = (F.col("n") - DISCOUNT) / F.col("nx") + F.pow(F.lit(10.0), "w") * F.col("p1")
+    value = log(F.col("p2")) - log(F.col("p1")) - F.col("w")
+    both = both.withColumn("p2", p2).select("key", "n", F.col("p2").cast("float").alias("p2"), value.cast("float").alias("v"))
+    both = scratch.keep(both, "pairs2")
     scratch.drop(pairs)
     _free(spark)
-    bits = shared(spark, _bitmap(pairs2))  # BITS bits
+
+    hot = _columns(both.filter(often), "key", "n", "p2", "v")  # at most 1 / rare rows
+    bits2 = _bitmap(both)
+    get = shared(spark, (hot[0], hot[2], bits2))
 
     def triples_of(part, hashes):
         seq, pair = _hashed(part, hashes)
         keys = _pair_key(seq[:-1], seq[1:])
-        good = pair & _passes(bits(), keys)
+        good = pair & _passes(get()[2], keys)
         both = good[:-1] & good[1:]
-        return keys[:-1][both], keys[1:][both]
-
-    triples = scratch.keep(_keyed(_couples(texts, triples_of), _triple_key), "triples")
-    _free(spark)
-    triples3 = triples.join(pairs2.select(F.col("key").alias("x"), F.col("n").alias("n2")), "x").withColumn("p3", p("n2"))
-    triples3 = triples3.join(pairs2.select(F.col("key").alias("y"), "p2"), "y").select("key", "x", "n", "p3", "p2")
-    triples3 = scratch.keep(triples3, "triples3")
-    scratch.drop(triples)
-    w1 = scratch.keep(pairs2.groupBy("x").agg(rest("p2", "p1").alias("w1")), "w1")
-    w2 = scratch.keep(triples3.groupBy("x").agg(rest("p3", "p2").alias("w2")), "w2")
-    log = lambda c: F.log10(F.col(c))
-    of_words = w1.join(known.withColumnRenamed("h", "x"), "x").select(F.col("x").alias("key"), F.col("n1").alias("n"), F.col("w1").alias("v"))
-    of_pairs = pairs2.join(w1, "x").join(w2.withColumnRenamed("x", "key"), "key", "left")
-    of_pairs = of_pairs.select("key", "n", (log("p2") - log("p1") - F.col("w1") + F.coalesce("w2", F.lit(0.0))).alias("v"))
-    of_triples = triples3.join(w2, "x").select("key", "n", (log("p3") - log("p2") - F.col("w2")).alias("v"))
-    out = scratch.keep(of_words.union(of_pairs).union(of_triples), "values")
-    scratch.drop(pairs2, triples3, w1, w2)
+        return keys[1:][both], keys[:-1][both]
+
+    def key_of(y, x):
+        return _triple_key(x, y)
+
+    def to_second(y, k):
+        return np.where(_place(get()[0], y)[1], k, y)
+
+    def triples_kept(own: pa.Table, rows: pa.Table) -> pa.Table:
+        y, x, n, k = _whole(rows.column("data"), key_of)
+        held, p = own.column("key").to_numpy(), own.column("p2").to_numpy()
+        order = np.argsort(held)
+        at, here = _place(held[order], y)
+        near, often_ = _place(get()[0], y)
+        p2 = np.where(here, p[order][at] if len(p) else 0.0, np.where(often_, get()[1][near] if len(get()[1]) else 0.0, 0.0))
+        shard = _part(np.where(_place(get()[0], x)[1], k, x), parts).astype(np.int32)
+        kept = p2 > 0  # a bitmap passes some pairs that are not kept
+        return pa.table({"shard": shard[kept], "x": x[kept], "y": y[kept], "n": n[kept], "p2": p2[kept].astype(np.float32)})
+
+    asked = both.select("key", "p2", part_of(F.col("key"), parts).alias("part")).groupBy("part")
+    dealt = _counted(texts, triples_of, key_of, to_second, parts).groupBy("part")
+    triples = scratch.keep(asked.cogroup(dealt).applyInArrow(triples_kept, "shard int, x long, y long, n long, p2 float"), "triples")
     _free(spark)
-    return out
-
-
-def _frequent(grams: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts; at most 1 / RARE rows come to the driver."""
-    got = grams.filter(F.col("n") >= least).toArrow()
-    k, n = got.column("key").to_numpy(), got.column("n").to_numpy()
-    order = np.argsort(k)
-    return k[order].astype(np.int64), n[order].astype(np.int64)
-
 
-class Model:
-    """Vocabulary, unigram log-probabilities and the trie, as bytes."""
+    # Contexts that are broadcast lie in many shards, so the mass of their triples is summed here: at most 1 / rare rows.
+    hot_keys = F.broadcast(both.filter(often).select(F.col("key").alias("x")))
+    spent = _columns(triples.join(hot_keys, "x").groupBy("x").agg(F.sum(F.col("n") - DISCOUNT).alias("mass")), "x", "mass")
+    at, here = _place(spent[0], hot[0])
+    back = np.log10(1 - np.where(here, spent[1][at] if len(spent[1]) else 0.0, 0.0) / np.maximum(hot[1], 1))
+    contexts = shared(spark, (hot[0], hot[1], back))
+
+    def shard_of(rows: pa.Table) -> pa.Table:
+        own_hot, many, rest = contexts()
+        x, y, n, p = (rows.column(c).to_numpy() for c in ("x", "y", "n", "p2"))
+        pair, triple = y < 0, y >= 0
+        order = np.argsort(x[pair])
+        key, total, value = x[pair][order], n[pair][order], p[pair][order].astype(np.float64)
+        x, y, n, p = x[triple], y[triple], n[triple], p[triple].astype(np.float64)
+        near, wide = _place(own_hot, x)
+        strange = ~wide & ~_place(key, x)[1]  # a bitmap passes some contexts that are not kept
+        x, y, n, p, near, wide = (c[~strange] for c in (x, y, n, p, near, wide))
+        keys = np.unique(np.concatenate((key, x[wide])))
+        first, totals, owner = np.zeros(len(keys)), np.ones(len(keys)), np.searchsorted(keys, x)
+        totals[np.searchsorted(keys, key)] = total
+        a = (n - DISCOUNT) / np.where(wide, many[near] if len(many) else 1, totals[owner])
+        left = np.log10(1 - np.bincount(owner[~wide], a[~wide], len(keys)))
+        first[np.searchsorted(keys, key)] = value
+        first += left  # a broadcast context has its value there, and 0 here
+        own = np.where(wide, rest[near] if len(rest) else 0.0, left[owner])
+        second = np.log10(a + 10**own * p) - own - np.log10(p)
+        trie = Trie.build(keys, first, owner, short_key(y), second)
+        heavy = n >= least
+        found = _pack(_triple_key(x, y)[heavy], second[heavy])
+        return pa.table([pa.array([rows.column("shard")[0].as_py()], pa.int32()), pa.array([trie.dump()], pa.binary()), pa.array([found], pa.binary())], names=["shard", "levels", "heavy"])
+
+    own = both.filter(~often).select(
+        part_of(F.col("key"), parts).alias("shard"), F.col("key").alias("x"), F.lit(-1).cast("long").alias("y"), "n", F.col("v").alias("p2")
+    )
+    built = own.unionByName(triples).groupBy("shard").applyInArrow(shard_of, "shard int, levels binary, heavy binary")
+    shards = scratch.keep(built, "trie")
+    bits3 = _bitmap(triples.select(triple_key(F.col("x"), F.col("y")).alias("key")))
+    scratch.drop(both, triples)
+    _free(spark)
+    got = [_unpack(r[0], (np.int64, np.float64)) for r in shards.select("heavy").collect()]  # at most 1 / rare triples
+    keys3, value3 = (np.concatenate([g[k] for g in got]) if got else np.empty(0) for k in (0, 1))
+    order = np.argsort(keys3)
+    frequent = (hot[0], hot[3].astype(np.float64) + back, keys3[order].astype(np.int64), value3[order])
+    return Model(lexicon.drop("x"), shards.select("shard", "levels"), parts, tokens, norm, least, frequent, (bits2, bits3))
 
-    def __init__(self, vocabulary: list[bytes], counts: np.ndarray, tokens: int, kinds: int, trie: bytes):
-        self.vocabulary, self.counts, self.tokens, self.kinds, self.trie = vocabulary, counts, tokens, kinds, trie
 
-    def open(self):
-        if not hasattr(self, "levels"):
-            self.ids = {w: i for i, w in enumerate(self.vocabulary)}
-            self.log1 = np.log10((self.counts + 1) / (self.tokens + self.kinds + 1))
-            self.levels = Trie.load(self.trie)
-        return self
+def _mark(doc_id, text: str | None) -> tuple[int, int]:
+    """128 bits of a row's id and text, as two numbers: rows with equal marks are equal and score equally."""
+    raw = xxhash.xxh3_128_digest(f"{doc_id!r}\0".encode() + (text.encode("utf-8", "surrogatepass") if text else b""))
+    return tuple(np.frombuffer(raw, np.int64).tolist())
 
 
-def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> tuple[Model, DataFrame]:
-    """(model, counts) of texts(text), the model one trie of what has at least the share rare of all tokens.
+_ASKED = (np.int64, np.int32, np.uint32, np.uint8, np.int32, np.int64, np.int64, np.float64)
 
-    For texts whose n-grams fit one machine; lm_scores does not use it. counts(word, n) is a written table of all words.
-    """
-    spark = texts.sparkSession
-    counts = scratch.keep(word_counts(texts), "words")
-    tokens, kinds = counts.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
-    tokens, kinds = tokens or 0, kinds or 0
-    least = max(2, int(np.ceil(rare * tokens)))
-    own = counts.filter((F.col("n") >= least) | (F.col("word") == F.lit(END))).toArrow()  # at most 1 / rare rows, and END
-    rows = sorted(zip(own.column("word").to_pylist(), own.column("n").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
-    if END not in {w for w, _ in rows}:
-        rows.append((END, 0))
-    vocabulary, many = [w for w, _ in rows], np.array([n for _, n in rows], np.int64)
-    k = len(vocabulary)
-    ids = shared(spark, {w: i for i, w in enumerate(vocabulary)})
-
-    def pair_keys(part):
-        seq, starts = _numbers(part, ids())
-        a, b = seq[:-1], seq[1:]
-        good = (a >= 0) & (b >= 0)
-        good[starts[1:] - 1] = False
-        return a[good] * k + b[good]
-
-    pairs, count2 = _frequent(_gram_counts(texts, pair_keys), least)
-    known = shared(spark, pairs)
-
-    def triple_keys(part):
-        seq, starts = _numbers(part, ids())
-        a, b = seq[:-1], seq[1:]
-        key = a * k + b
-        sorted_pairs = known()
-        place = np.minimum(np.searchsorted(sorted_pairs, key), max(len(sorted_pairs) - 1, 0))
-        good = (a >= 0) & (b >= 0)
-        good[starts[1:] - 1] = False
-        good &= (sorted_pairs[place] == key) if len(sorted_pairs) else False
-        both = good[:-1] & good[1:]
-        return place[:-1][both] * k + seq[2:][both]
 
-    triples, count3 = _frequent(_gram_counts(texts, triple_keys), least)
-    p1 = (many + 1) / (tokens + kinds + 1)
-    trie = Trie.build(p1, many, pairs, count2, triples, count3)
-    return Model(vocabulary, many, tokens, kinds, trie.dump()), counts
+def context_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """(hi, lo, grams): for each mark of docs(doc_id, text) the sum of the values of its pairs and triples."""
+    get, parts = shared(docs.sparkSession, (*model.frequent, *model.bits)), model.parts
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-class Cache:
-    """Words and values with at least the share rare of all tokens, and the bitmap of all other values' keys."""
+        keys2, value2, keys3, value3, bits2, bits3 = get()
+        origin, hashes, seen = TaskContext.get().partitionId(), _Hashes(), set()
+        held, marks, sums, size = [], [], [], 0
 
-    def __init__(self, words_: pa.Table, values: pa.Table, bits: np.ndarray, norm: int):
-        self.words, self.bits = dict(zip(words_.column("word").to_pylist(), words_.column("n").to_pylist(), strict=True)), bits
-        self.log = {w: float(np.log10((n + 1) / norm)) for w, n in self.words.items()}
-        keys, v = values.column("key").to_numpy(), values.column("v").to_numpy()
-        order = np.argsort(keys)
-        self.keys, self.v = keys[order], v[order]
+        def row(shard: int, arrays: tuple) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([origin], pa.int32()), pa.array([_pack(*arrays)], pa.binary())], names=["shard", "origin", "data"]
+            )
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each key's value, 0 where it is not here; and which keys have theirs in the table, if any."""
-        if not len(self.keys):
-            return np.zeros(len(keys)), _passes(self.bits, keys)
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        here = self.keys[place] == keys
-        return np.where(here, self.v[place], 0.0), ~here & _passes(self.bits, keys)
+        def out() -> Iterator[pa.RecordBatch]:
+            x, kid, route, who = (np.concatenate(c) for c in zip(*held, strict=True))
+            hi, lo = (np.array(c, np.int64) for c in zip(*marks, strict=True))
+            none = np.empty(0, np.int64)
+            yield row(origin % parts, (none, none.astype(np.int32), none.astype(np.uint32), none.astype(np.uint8), none.astype(np.int32), hi, lo, np.concatenate(sums)))
+            for shard, own in _dealt(_part(route, parts), x):
+                distinct, many = _runs(x[own])
+                docs_, at = np.unique(who[own], return_inverse=True)
+                ext = kid[own]
+                yield row(shard, (distinct, many, (ext & 0xFFFFFFFF).astype(np.uint32), (ext >> 32).astype(np.uint8), at.astype(np.int32), hi[docs_], lo[docs_], np.empty(0)))
 
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                rows = batch.slice(a, 256)
+                own = [(_mark(i, t), t) for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)]
+                fresh = dict(r for r in own if r[0] not in seen)
+                if not fresh:
+                    continue
+                seen.update(fresh)
+                part = [words(t) for t in fresh.values()]
+                seq, pair = _hashed(part, hashes)
+                keys = _pair_key(seq[:-1], seq[1:])
+                owner = np.repeat(np.arange(len(part)), [len(w) + 2 for w in part])[:-1]
+                near, often = _place(keys2, keys)
+                often &= pair
+                rest = pair & ~often & _passes(bits2, keys)  # pairs that a shard may know
+                total = np.bincount(owner[often], value2[near[often]], len(part))
+                both = np.zeros(len(keys), bool)  # triples, by the place of their first pair
+                both[:-1] = (often | rest)[:-1] & (often | rest)[1:]
+                first = np.flatnonzero(both)
+                third = _triple_key(keys[first], keys[first + 1])
+                near, known = _place(keys3, third)
+                total += np.bincount(owner[first[known]], value3[near[known]], len(part))
+                wanted = ~known & _passes(bits3, third)
+                kid = np.zeros(len(keys), np.int64)
+                kid[first[wanted]] = short_key(keys[first[wanted] + 1])
+                route = keys.copy()
+                route[first[wanted]] = np.where(often[first[wanted]], third[wanted], route[first[wanted]])
+                asks = np.flatnonzero(rest | (kid > 0))
+                held.append((keys[asks], kid[asks], route[asks], owner[asks] + len(marks)))
+                marks += fresh
+                sums.append(total)
+                size += len(asks) + 8 * len(part)
+                if size > GATHERED // 4:
+                    yield from out()
+                    held, marks, sums, size = [], [], [], 0
+        if held:
+            yield from out()
 
-def score_texts(docs: DataFrame, counts: DataFrame, values: DataFrame, tokens: int, norm: int, scratch: Scratch, rare: float = RARE) -> DataFrame:
+    def answer(shards: pa.Table, rows: pa.Table) -> pa.Table:
+        trie = Trie.load(shards.column("levels")[0].as_buffer()) if shards.num_rows else None
+        found = []
+        for origin, data in zip(rows.column("origin").to_pylist(), rows.column("data"), strict=True):
+            x, many, low, high, who, hi, lo, direct = _unpack(data.as_buffer(), _ASKED)
+            sums = direct if len(direct) else np.zeros(len(hi))
+            if trie is not None and len(who):
+                kids = low.astype(np.int64) | (high.astype(np.int64) << 32)
+                sums = sums + np.bincount(who, trie.values(np.repeat(x, many), kids), len(hi))
+            found.append((hi, lo, np.full(len(hi), origin, np.int32), sums))
+        cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.float64)]
+        return pa.table(dict(zip(("hi", "lo", "origin", "grams"), cols, strict=True)))
+
+    asked = docs.select("doc_id", "text").mapInArrow(ask, "shard int, origin int, data binary")
+    found = model.shards.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, "hi long, lo long, origin int, grams double")
+    # Equal rows in several tasks have asked each for themselves.
+    found = found.groupBy("hi", "lo", "origin").agg(F.sum("grams").alias("grams"))
+    return found.groupBy("hi", "lo").agg(F.max("grams").alias("grams"))
+
+
+def _lexicon(given: tuple[dict, int]) -> tuple[dict, dict]:
+    """The unigram value of words, alone and with the word's weight as a context; END stands once on either side of a text."""
+    own, norm = given
+    log = {w: float(np.log10((n + 1) / norm)) for w, n in zip(own["word"], own["n"], strict=True)}
+    return log, {w: log[w] + b for w, b in zip(own["word"], own["w"], strict=True)}
+
+
+def score_texts(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
     """docs(doc_id, text) with n_tokens, n_known, base_score and score."""
-    least = max(LEAST, int(np.ceil(rare * tokens)))
-    often = F.col("n") >= least
-    cache = Cache(counts.filter(often).toArrow(), values.filter(often).select("key", "v").toArrow(), _bitmap(values.filter(~often)), norm)
-    get = shared(docs.sparkSession, cache)  # bounded: at most 1 / rare words, pairs and triples each, and BITS bits
+    often, norm = F.col("n") >= model.least, model.norm
+    own = model.lexicon.filter(often).toArrow()  # at most 1 / rare words
+    get = shared(docs.sparkSession, (own.select(["word", "n", "w"]).to_pydict(), norm), _lexicon)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        m, hashes, number = get(), _Hashes(), TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 40
+        log, full = get()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                part = [words(t.as_py()) for t in rows.column(1)]
-                seq, pair = _hashed(part, hashes)
-                keys = _pair_key(seq[:-1], seq[1:])
-                both = np.flatnonzero(pair[:-1] & pair[1:])
-                owner = np.repeat(np.arange(len(part)), [len(w) + 2 for w in part])[:-1]
-                # The last end of a text is no context.
-                found = np.concatenate((seq[:-1][pair], keys[pair], _triple_key(keys[both], keys[both + 1])))
-                owners = np.concatenate((owner[pair], owner[pair], owner[both]))
-                v, later = m.find(found)
-                inner = np.bincount(owners, v, len(part))
-                order = np.argsort(owners[later], kind="stable")
-                cuts = np.concatenate(([0], np.cumsum(np.bincount(owners[later], minlength=len(part))))).astype(np.int32)
-                own = [[*w, END] for w in part]
-                tails = [Counter(w for w in one if w not in m.words) for one in own]
-                plain = [sum(map(m.log.get, (w for w in one if w in m.log))) for one in own]
+                marks, sizes, seen, plain, with_back, tails = [], [], [], [], [], []
+                for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+                    w = [*words(t), END]
+                    tail = Counter(x for x in w if x not in log)
+                    marks.append(_mark(i, t))
+                    sizes.append(len(w))
+                    seen.append(len(w) - sum(tail.values()))
+                    plain.append(sum(log[x] for x in w if x in log))
+                    with_back.append(sum(full[x] for x in w if x in full))
+                    tails.append(tail)
                 ends = np.concatenate(([0], np.cumsum([len(t) for t in tails]))).astype(np.int32)
                 lists = [
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(found[later][order])),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array([w for t in tails for w in t], pa.binary())),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array([n for t in tails for n in t.values()], pa.int64())),
                 ]
-                numbers = pa.array(np.arange(number, number + len(part)), pa.int64())
-                number += len(part)
-                sizes = pa.array([len(one) for one in own], pa.int64())
-                seen = pa.array([len(one) - sum(t.values()) for one, t in zip(own, tails, strict=True)], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), numbers, sizes, seen, pa.array(plain, pa.float64()), pa.array(inner, pa.float64()), *lists],
-                    names=["doc_id", "row", "n_tokens", "seen", "plain", "inner", "keys", "tail", "times"],
-                )
-
-    schema = f"doc_id {kind}, row long, n_tokens long, seen long, plain double, inner double, keys array<long>, tail array<binary>, times array<long>"
+                numbers = pa.array(np.arange(number, number + len(marks)), pa.int64())
+                number += len(marks)
+                longs = [pa.array(c, pa.int64()) for c in ([m[0] for m in marks], [m[1] for m in marks], sizes, seen)]
+                doubles = [pa.array(c, pa.float64()) for c in (plain, with_back)]
+                names = ["doc_id", "row", "hi", "lo", "n_tokens", "seen", "plain", "backed", "tail", "times"]
+                yield pa.RecordBatch.from_arrays([rows.column(0), numbers, *longs, *doubles, *lists], names=names)
+
+    schema = f"doc_id {kind}, row long, hi long, lo long, n_tokens long, seen long, plain double, backed double, tail array<binary>, times array<long>"
     parts = scratch.keep(docs.select("doc_id", "text").mapInArrow(run, schema), "parts")
     tail = parts.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    rest = tail.join(counts, "word", "left").groupBy("row").agg(
+    n, zero = F.coalesce(F.col("n"), F.lit(0)), F.lit(0.0)
+    rest = tail.join(model.lexicon.filter(~often), "word", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more"),
         F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(norm)))).alias("rest"),
+        F.sum(F.col("times") * F.coalesce("w", zero)).alias("back"),
     )
-    grams = parts.select("row", F.explode("keys").alias("key")).join(values.filter(~often).select("key", "v"), "key")
-    grams = grams.groupBy("row").agg(F.sum("v").alias("grams"))
-    base = F.col("plain") + F.coalesce("rest", F.lit(0.0))
-    return parts.drop("keys", "tail", "times").join(rest, "row", "left").join(grams, "row", "left").select(
+    out = parts.drop("tail", "times").join(rest, "row", "left").join(context_scores(docs, model), ["hi", "lo"], "left")
+    more = F.coalesce("rest", zero)
+    return out.select(
         "doc_id", "n_tokens", (F.col("seen") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        base.alias("base_score"), (base + F.col("inner") + F.coalesce("grams", F.lit(0.0))).alias("score"),
+        (F.col("plain") + more).alias("base_score"), (F.col("backed") + more + F.coalesce("back", zero) + F.coalesce("grams", zero)).alias("score"),
     )
 
 
@@ -417,12 +536,9 @@ def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RAR
     """
     scratch = scratch or Scratch(docs.sparkSession)
     held = fold(F.col("doc_id"), FOLDS) == HELD_OUT
-    texts = docs.filter(~held).select("text")
-    counts = scratch.keep(word_counts(texts), "words")
-    tokens, kinds = (x or 0 for x in counts.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first())
-    norm = tokens + kinds + 1
-    out = score_texts(docs, counts, gram_values(texts, counts, norm, scratch), tokens, norm, scratch, rare)
-    return out.withColumn("held_out", held).withColumn("train_tokens", F.lit(tokens).cast("long"))
+    model = train(docs.filter(~held).select("text"), scratch, rare)
+    out = score_texts(docs, model, scratch)
+    return out.withColumn("held_out", held).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
-"""A compact n-gram trie: Elias-Fano levels, quantised log-probabilities, queried in batches.
+"""A compact n-gram trie over hashed keys: Elias-Fano levels, 16-bit values, queried in batches where it lies.
 
-Level 1 holds the vocabulary's back-off weights and pointers. Level 2 holds for each word its successors'
-numbers, level 3 for each word pair (a, b) its successors, each written as its rank among the
-successors of b (a context-relative number from a small range). Pointers and successors are monotone
-after adding each range's base, and stored as Elias-Fano sequences: low bits packed, high bits in unary.
-A file maps into memory as it is; opening it derives the select directory of each sequence.
+The first level holds contexts (pairs of words, as sorted keys), the second each context's successors: a context's
+number and its successor's short key make one number, so the whole level is monotone. Monotone pointers tell
+where a context's successors begin. All sequences are Elias-Fano: low bits packed, high bits in unary; a search selects its
+bucket of high bits by counted words and compares low bits there, so nothing is unpacked. A dumped trie is
+read as it is, from bytes or a memory map.
 """
 
 from __future__ import annotations
@@ -14,6 +14,13 @@ import json
 import numpy as np
 
 _U = np.uint64
+#: Bits of a successor's short key.
+SHORT = 40
+
+
+def short_key(keys: np.ndarray) -> np.ndarray:
+    """A successor's short key, never 0."""
+    return (keys & ((1 << SHORT) - 1)) | 1
 
 
 def _pack(values: np.ndarray, bits: int) -> np.ndarray:
@@ -29,13 +36,13 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
 
 
 class EliasFano:
-    """A monotone sequence of n numbers under a bound."""
+    """A monotone sequence of n numbers >= 0."""
 
     def __init__(self, n: int, bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.bits, self.low, self.high = n, bits, low, high
-        ones = np.flatnonzero(np.unpackbits(high.view(np.uint8), bitorder="little"))[:n]
-        highs = ones - np.arange(n)
-        self.starts = np.searchsorted(highs, np.arange((int(highs[-1]) if n else 0) + 2)).astype(np.int64)
+        ones = np.concatenate(([0], np.cumsum(np.bitwise_count(high), dtype=np.int64)))
+        #: Ones and zeros before each word of the high bits.
+        self.ones, self.zeros = ones, np.arange(len(high) + 1) * 64 - ones
         self.mask = _U((1 << bits) - 1)
 
     @classmethod
@@ -44,10 +51,23 @@ class EliasFano:
         n, top = len(values), int(values[-1]) + 1 if len(values) else 1
         bits = max(0, (max(top // max(n, 1), 1)).bit_length() - 1)
         ones = (values >> bits) + np.arange(n)
-        flags = np.zeros((int(ones[-1]) if n else 0) // 64 * 64 + 64, np.uint8)
+        flags = np.zeros(((int(ones[-1]) if n else 0) // 64 + 2) * 64, np.uint8)
         flags[ones] = 1
         return cls(n, bits, _pack(values & ((1 << bits) - 1), bits), np.packbits(flags, bitorder="little").view(_U))
 
+    def _select(self, k: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
+        """The place of the k-th one (or zero) of the high bits."""
+        word = np.searchsorted(before, k, "right") - 1
+        held = self.high[word]
+        held = ~held if flip else held
+        rest, at = k - before[word], np.zeros(len(k), np.int64)
+        for width in (32, 16, 8, 4, 2, 1):
+            many = np.bitwise_count((held >> at.astype(_U)) & _U((1 << width) - 1)).astype(np.int64)
+            go = rest >= many
+            rest = np.where(go, rest - many, rest)
+            at += np.where(go, width, 0)
+        return word * 64 + at
+
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), _U)
@@ -57,16 +77,16 @@ class EliasFano:
 
     def __getitem__(self, i) -> np.ndarray:
         i = np.atleast_1d(np.asarray(i, np.int64))
-        high = np.searchsorted(self.starts, i, "right") - 1
-        return (high << self.bits) | self._low(i).astype(np.int64)
+        return ((self._select(i, self.ones, False) - i) << self.bits) | self._low(i).astype(np.int64)
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """Where each value stands, -1 where it does not: its successor's place within its bucket of high bits."""
+        """Where each value stands, -1 where it does not: the successor search within its bucket of high bits."""
         values = np.asarray(values, np.int64)
         high = values >> self.bits
-        inside = (high >= 0) & (high < len(self.starts) - 1)
+        inside = (values >= 0) & (high < self.zeros[-1])
         high = np.where(inside, high, 0)
-        place, end = np.where(inside, self.starts[high], 0), np.where(inside, self.starts[high + 1], 0)
+        end = np.where(inside, np.minimum(self._select(high, self.zeros, True) - high, self.n), 0)
+        place = np.where(inside & (high > 0), self._select(np.maximum(high - 1, 0), self.zeros, True) - high + 1, 0)
         want = values.astype(_U) & self.mask
         out = np.full(len(values), -1, np.int64)
         live = np.flatnonzero(place < end)
@@ -96,57 +116,39 @@ class Quantised:
         return self.low + self.codes[i] * self.step
 
 
-def _based(owner: np.ndarray, value: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pointers, bases, monotone values) of rows sorted by owner and value: each range starts above the last."""
-    pointers = np.searchsorted(owner, np.arange(owners + 1))
-    last = np.where(np.diff(pointers) > 0, value[np.maximum(pointers[1:], 1) - 1] if len(value) else 0, -1) + 1
-    bases = np.concatenate(([0], np.cumsum(last)))
-    return pointers, bases, value + bases[owner]
-
-
 class Trie:
-    """Back-off model of three levels over word numbers; log10 throughout. Unigram probabilities stay outside."""
+    """Contexts with a value each, and their successors with a value each."""
 
-    #: In this order in a file.
-    PARTS = ("ptr2", "base2", "ids2", "ptr3", "base3", "ids3")
-    VALUES = ("p2", "p3", "bow1", "bow2")
+    SEQUENCES, VALUES = ("keys", "pointers", "kids"), ("first", "second")
 
-    def __init__(self, **parts):
+    def __init__(self, base: int, **parts):
+        self.base = base
         self.__dict__.update(parts)
-        # The pointers of a level are read for every query, so they are decoded once.
-        self.first2, self.from2 = self._all(self.ptr2), self._all(self.base2)
-        self.first3, self.from3 = self._all(self.ptr3), self._all(self.base3)
-
-    @staticmethod
-    def _all(seq: EliasFano) -> np.ndarray:
-        return seq[np.arange(seq.n)] if seq.n else np.zeros(1, np.int64)
 
     @classmethod
-    def build(cls, p1: np.ndarray, count1: np.ndarray, pairs: np.ndarray, count2: np.ndarray, triples: np.ndarray, count3: np.ndarray, discount: float = 0.5) -> "Trie":
-        """pairs: sorted a * K + b; triples: sorted place of (a, b) * K + c; every (b, c) is a pair too.
-
-        A kept n-gram has (count - discount) / count of its context; what that leaves is spread over the
-        other words in proportion to the next shorter context, so that each context sums to 1.
-        """
-        k = len(p1)
-        a, b = pairs // k, pairs % k
-        p2 = (count2 - discount) / np.maximum(count1[a], count2)
-        tiny = 1e-12
-        bow1 = np.log10(np.maximum(1 - np.bincount(a, p2, k), tiny) / np.maximum(1 - np.bincount(a, p1[b], k), tiny))
-        ptr2, base2, ids2 = _based(a, b, k)
-        ctx, c = triples // k, triples % k
-        inner = np.searchsorted(pairs, b[ctx] * k + c) if len(triples) else np.empty(0, np.int64)
-        p3 = (count3 - discount) / np.maximum(count2[ctx], count3) if len(triples) else np.empty(0)
-        m = len(pairs)
-        bow2 = np.log10(np.maximum(1 - np.bincount(ctx, p3, m), tiny) / np.maximum(1 - np.bincount(ctx, p2[inner], m), tiny))
-        rank = inner - ptr2[b[ctx]]
-        ptr3, base3, ids3 = _based(ctx, rank, m)
-        seqs = dict(zip(cls.PARTS, map(EliasFano.build, (ptr2, base2, ids2, ptr3, base3, ids3)), strict=True))
-        logs = dict(zip(cls.VALUES, map(Quantised.build, (np.log10(p2), np.log10(p3), bow1, bow2)), strict=True))
-        return cls(**seqs, **logs)
+    def build(cls, keys: np.ndarray, first: np.ndarray, owner: np.ndarray, kids: np.ndarray, second: np.ndarray) -> "Trie":
+        """keys: sorted, distinct, >= 0, with values first; successors of the key numbered owner, by their short keys, with values second."""
+        base = int(keys[0]) if len(keys) else 0
+        order = np.argsort((owner.astype(np.int64) << SHORT) | kids, kind="stable")
+        owner, kids, second = owner[order], kids[order], second[order]
+        pointers = np.searchsorted(owner, np.arange(len(keys) + 1))
+        seqs = (keys - base, pointers, (owner.astype(np.int64) << SHORT) | kids)
+        return cls(base, **dict(zip(cls.SEQUENCES, map(EliasFano.build, seqs), strict=True)), **dict(zip(cls.VALUES, map(Quantised.build, (first, second)), strict=True)))
+
+    def values(self, keys: np.ndarray, kids: np.ndarray) -> np.ndarray:
+        """Each context's value and that of its successor kids (0: none asked); what is not here counts 0."""
+        at = self.keys.find(keys - self.base)
+        out = np.where(at >= 0, self.first[np.maximum(at, 0)] if self.keys.n else 0.0, 0.0)
+        ask = np.flatnonzero((at >= 0) & (kids > 0))
+        if len(ask) and self.kids.n:
+            own = at[ask]
+            found = self.kids.find((own << SHORT) | kids[ask])
+            inside = (found >= self.pointers[own]) & (found < self.pointers[own + 1])
+            out[ask] += np.where(inside, self.second[np.maximum(found, 0)], 0.0)
+        return out
 
     def dump(self) -> bytes:
-        head, body, at = {}, [], 0
+        head, body, at = {"base": self.base}, [], 0
 
         def put(data: np.ndarray) -> list[int]:
             nonlocal at
@@ -156,7 +158,7 @@ class Trie:
             at += len(raw)
             return [at - len(raw), len(data)]
 
-        for name in self.PARTS:
+        for name in self.SEQUENCES:
             seq = getattr(self, name)
             head[name] = [seq.n, seq.bits, *put(seq.low), *put(seq.high)]
         for name in self.VALUES:
@@ -168,59 +170,15 @@ class Trie:
 
     @classmethod
     def load(cls, data) -> "Trie":
-        """From bytes or a memory map (see open)."""
+        """From bytes or a memory map (see open), which is read in place."""
         view = memoryview(data)
         size = int.from_bytes(view[:8], "little")
         head, body = json.loads(bytes(view[8 : 8 + size])), 8 + size
         got = lambda at, n, kind: np.frombuffer(view, kind, n, body + at)
-        seqs = {n: EliasFano(head[n][0], head[n][1], got(*head[n][2:4], _U), got(*head[n][4:6], _U)) for n in cls.PARTS}
-        return cls(**seqs, **{n: Quantised(got(*head[n][2:4], np.uint16), *head[n][:2]) for n in cls.VALUES})
+        seqs = {n: EliasFano(head[n][0], head[n][1], got(*head[n][2:4], _U), got(*head[n][4:6], _U)) for n in cls.SEQUENCES}
+        return cls(head["base"], **seqs, **{n: Quantised(got(*head[n][2:4], np.uint16), *head[n][:2]) for n in cls.VALUES})
 
     @classmethod
     def open(cls, path: str) -> "Trie":
         """A file of dump(), mapped into memory."""
         return cls.load(np.memmap(path, np.uint8, "r"))
-
-    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Places of pairs in level 2, -1 where none; a and b may be -1."""
-        out = np.full(len(a), -1, np.int64)
-        at = np.flatnonzero((a >= 0) & (b >= 0))
-        found = self.ids2.find(b[at] + self.from2[a[at]])
-        inside = (found >= self.first2[a[at]]) & (found < self.first2[a[at] + 1])
-        out[at] = np.where(inside, found, -1)
-        return out
-
-    def triple(self, ctx: np.ndarray, b: np.ndarray, inner: np.ndarray) -> np.ndarray:
-        """Places in level 3 of the pair at ctx (its second word b) followed by the word of the pair at inner."""
-        out = np.full(len(ctx), -1, np.int64)
-        at = np.flatnonzero((ctx >= 0) & (inner >= 0))
-        rank = inner[at] - self.first2[b[at]]
-        found = self.ids3.find(rank + self.from3[ctx[at]])
-        inside = (found >= self.first3[ctx[at]]) & (found < self.first3[ctx[at] + 1])
-        out[at] = np.where(inside, found, -1)
-        return out
-
-    def score(self, seq: np.ndarray, starts: np.ndarray, log1: np.ndarray) -> np.ndarray:
-        """log10 probability of each word number of seq in its context; starts: where a text begins, unscored.
-
-        A number of -1 is a word outside the vocabulary: its own log-probability is left to the caller, the
-        back-off weight before it is not.
-        """
-        n = len(seq)
-        out = np.zeros(n)
-        if n < 2:
-            return out
-        prev, cur = seq[:-1], seq[1:]
-        pair = np.concatenate(([-1], self.pair(prev, cur)))
-        first = np.zeros(n + 1, bool)
-        first[starts] = True
-        pair[first[:n]] = -1
-        ctx = np.concatenate(([-1], pair[:-1]))
-        third = self.triple(ctx, np.concatenate(([0], prev)), pair)
-        before = np.concatenate(([-1], prev))
-        plain = np.where(seq >= 0, log1[seq], 0.0) + np.where(before >= 0, self.bow1[before], 0.0)
-        two = np.where(pair >= 0, self.p2[np.maximum(pair, 0)] if len(self.p2.codes) else 0.0, plain)
-        two = two + np.where(ctx >= 0, self.bow2[np.maximum(ctx, 0)] if len(self.bow2.codes) else 0.0, 0.0)
-        out = np.where(third >= 0, self.p3[np.maximum(third, 0)] if len(self.p3.codes) else 0.0, two)
-        out[first[:n]] = 0.0
-        return out

@@ -181,56 +181,78 @@ def test_nearest_neighbours(spark):
 
 def test_elias_fano():
     values = np.cumsum(np.random.default_rng(0).integers(0, 50, 2000))
-    seq = triefile.EliasFano.build(values)
-    assert (seq[np.arange(len(values))] == values).all()
-    found = seq.find(np.arange(values[-1] + 5))
-    assert all((found[v] >= 0) == (v in set(values.tolist())) for v in range(int(values[-1]) + 5))
+    for values in (values, values << 40, np.array([0, 0, 0, 5]), np.array([1 << 62])):
+        seq = triefile.EliasFano.build(values)
+        assert (seq[np.arange(len(values))] == values).all()
+        ask = np.unique(np.concatenate((values, values + 1, [0, 1, 3, 1 << 62])))
+        found = seq.find(ask)
+        assert all((f >= 0) == (v in set(values.tolist())) and (f < 0 or values[f] == v) for f, v in zip(found.tolist(), ask.tolist(), strict=True))
     assert triefile.EliasFano.build(np.empty(0)).find(np.array([3]))[0] == -1
 
 
-def test_lm_sums_to_one_and_matches_counts(spark, tmp_path):
-    texts = ["a b a b c", "a b a c", "b a b a b", "", None, "zz unseen", "a a a b"] * 3
-    df = docs(spark, texts)
-    rows = {r["doc_id"]: r for r in lm.lm_scores(df).collect()}
-    counts = Counter()
-    for i, t in enumerate(texts):
-        if zlib.crc32(str(i).encode()) % 7 != 2:
-            counts.update([*words(t), lm.END])
-    n, v = sum(counts.values()), len(counts)
-    for i, t in enumerate(texts):
-        own = [*words(t), lm.END]
-        assert rows[i]["n_tokens"] == len(own) and rows[i]["train_tokens"] == n and rows[i]["n_known"] == sum(counts[w] > 0 for w in own)
-        assert abs(rows[i]["base_score"] - sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own)) < 1e-9
-    model, _ = lm.train(df.select("text"), Scratch(spark), rare=1e-6)
-    (tmp_path / "m").write_bytes(model.trie)
-    m, trie = model.open(), triefile.Trie.open(str(tmp_path / "m"))
-    k = len(m.vocabulary)
-    for before in ([m.ids[b"a"]], [m.ids[b"a"], m.ids[b"b"]], [m.ids[b"b"], m.ids[b"a"]]):
-        total = 0.0
-        for w in [*range(k), -1]:
-            logs = trie.score(np.array([m.ids[lm.END], *before, w]), np.array([0]), m.log1)
-            # The words outside the vocabulary share what the unigrams in it leave.
-            total += 10 ** logs[-1] * (1 - (10**m.log1).sum() if w < 0 else 1)
-        assert abs(total - 1) < 2e-3
-    assert lm.lm_scores(df.limit(0)).count() == 0
-
-
-def test_lm_scores_keep_every_context_at_any_share(spark):
+def test_trie_from_a_mapped_file(tmp_path):
+    rng = np.random.default_rng(0)
+    keys = np.unique(rng.integers(0, 1 << 62, 500))
+    owner, kids = rng.integers(0, len(keys), 900), triefile.short_key(rng.integers(0, 1 << 62, 900))
+    first, second = rng.normal(size=len(keys)), rng.normal(size=900)
+    (tmp_path / "t").write_bytes(triefile.Trie.build(keys, first, owner, kids, second).dump())
+    trie = triefile.Trie.open(str(tmp_path / "t"))
+    assert np.abs(trie.values(keys, np.zeros(len(keys), np.int64)) - first).max() < 1e-3
+    assert np.abs(trie.values(keys[owner], kids) - first[owner] - second).max() < 1e-3
+    other = np.roll(keys[owner], 1)
+    assert np.abs(trie.values(other, kids) - first[np.roll(owner, 1)])[np.roll(owner, 1) != owner].max() < 1e-3
+    empty = triefile.Trie.load(triefile.Trie.build(keys[:0], first[:0], owner[:0], kids[:0], second[:0]).dump())
+    assert (empty.values(keys, kids[: len(keys)]) == 0).all()
+
+
+class _Brute:
+    """The model of lm in plain Python: words as tuples, no hashes, no quantising."""
+
+    def __init__(self, texts):
+        seqs = [[lm.END, *words(t), lm.END] for t in texts]
+        self.one = Counter(w for s in seqs for w in s[1:])
+        self.two, self.three = (Counter(tuple(s[i : i + k]) for s in seqs for i in range(len(s) - k + 1)) for k in (2, 3))
+        self.n, self.v = sum(self.one.values()), len(self.one)
+        self.left = {1: Counter(), 2: Counter()}
+        for k, grams in ((1, self.two), (2, self.three)):
+            for g, n in grams.items():
+                self.left[k][g[:-1]] += n - 0.5 if n >= 2 else 0
+
+    def p(self, context, w):
+        if not context:
+            return (self.one[w] + 1) / (self.n + self.v + 1)
+        grams, below = (self.two, self.one) if len(context) == 1 else (self.three, self.two)
+        total = below[context[0]] if len(context) == 1 else below[context]
+        if len(context) == 2 and total < 2 or not total:
+            return self.p(context[1:], w)
+        n = grams[(*context, w)]
+        return (n - 0.5 if n >= 2 else 0) / total + (1 - self.left[len(context)][context] / total) * self.p(context[1:], w)
+
+    def score(self, text):
+        s = [lm.END, *words(text), lm.END]
+        return sum(math.log10(self.p(tuple(s[max(0, i - 2) : i]), s[i])) for i in range(1, len(s)))
+
+
+def test_lm_against_brute_force(spark):
     rng = np.random.default_rng(3)
-    texts = [" ".join(rng.choice(list("abcdefghij"), rng.integers(0, 40))) for _ in range(60)] + ["a rare known context"] * 3 + ["", None]
-    df = docs(spark, texts)
-    all_here = {r["doc_id"]: r for r in lm.lm_scores(df).collect()}
-    joined = {r["doc_id"]: r for r in lm.lm_scores(df, rare=0.9).collect()}
-    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
-    model, _ = lm.train(docs(spark, train).select("text"), Scratch(spark))  # everything seen twice
-    model.open()
-    for i, t in enumerate(texts):
-        seq, starts = lm._numbers([words(t)], model.ids)
-        unknown = sum(w not in model.ids for w in words(t))
-        assert abs(joined[i]["score"] - all_here[i]["score"]) < 1e-9 and joined[i]["n_known"] == all_here[i]["n_known"]
-        if not unknown:
-            assert abs(joined[i]["score"] - model.levels.score(seq, starts, model.log1).sum()) < 1e-2
-    assert abs(joined[60]["score"] - joined[60]["base_score"]) > 1
+    texts = [" ".join(rng.choice(list("abcdefghij"), rng.integers(0, 40))) for _ in range(60)]
+    texts += ["a rare known context"] * 3 + ["", None, "zz unseen", "a b a b c", "A B\ta b"] + ["x y z"] * 40
+    df = docs(spark, texts).unionByName(docs(spark, texts[:3]))  # rows that repeat
+    train = [t for i, t in [*enumerate(texts), *enumerate(texts[:3])] if zlib.crc32(str(i).encode()) % 7 != 2]
+    brute = _Brute(train)
+    for rare in (1e-6, 0.01, 0.9):  # all n-grams broadcast, some, none
+        rows = lm.lm_scores(df, rare=rare).collect()
+        assert len(rows) == len(texts) + 3
+        for r in rows:
+            t = texts[r["doc_id"]]
+            own = [*words(t), lm.END]
+            assert r["n_tokens"] == len(own) and r["train_tokens"] == brute.n and r["n_known"] == sum(brute.one[w] > 0 for w in own)
+            assert abs(r["base_score"] - sum(math.log10(brute.p((), w)) for w in own)) < 1e-9
+            assert abs(r["score"] - brute.score(t)) < 1e-3 * len(own), (rare, t)
+    total = [sum(brute.p(c, w) for w in brute.one) + brute.p(c, b"?") for c in ((b"a",), (b"a", b"b"), (lm.END, b"x"))]
+    assert all(abs(t - 1) < 1e-9 for t in total)  # what the words sum to, with the unseen word's share
+    assert lm.lm_scores(df.limit(0)).count() == 0
+    assert lm.lm_scores(docs(spark, texts[:4]).withColumn("doc_id", F.lit(None).cast("long"))).count() == 4
 
 
 def test_neighbours_that_are_abandoned_together_are_scanned_again(spark, monkeypatch):
