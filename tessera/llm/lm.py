@@ -1,7 +1,7 @@
 """Language-model scoring: corpus counts in Spark, a sharded n-gram trie in the shared folder, whole texts scored.
 
-Words, pairs and triples seen at least LEAST times in the training texts make the model, whatever the corpus; n-grams
-are known by 64-bit hashes. Absolute discounting, interpolated: with a(y|x) = (n(xy) - D) / n(x) of a kept pair, 0 of
+Pairs and triples seen at least LEAST times in the training texts, and all words, make the model, whatever the corpus;
+words and n-grams are known by 63-bit hashes. Absolute discounting, interpolated: with a(y|x) = (n(xy) - D) / n(x) of a kept pair, 0 of
 another, and l(x) = 1 - sum of a(y|x), p(y|x) = a(y|x) + l(x) p(y); a triple's a(z|xy) and l(xy) likewise over p(z|y). So
 log10 p of a text is its unigram score and a sum of values: log l(x) for each word x that something follows,
 log p(y|x) - log p(y) - log l(x) for a kept pair and log l(xy) for it as a context, log p(z|xy) - log l(xy) - log p(z|y) for a kept
@@ -17,17 +17,16 @@ task. Bitmaps of BITS bits pass every n-gram that is kept, and few others while
 from __future__ import annotations
 
 import gc
-from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, fold, shared, shuffle_partitions, table, words
+from tessera.llm.common import Scratch, fold, shared, shuffle_partitions, table
+from tessera.llm.lookup import Map, mix, slices, word_hashes
 from tessera.llm.triefile import Trie, short_key
 
 #: An n-gram seen so often in the training texts is kept, at any corpus size.
@@ -35,91 +34,48 @@ LEAST = 2
 DISCOUNT = 0.5
 #: The share of all tokens from which an n-gram is broadcast.
 RARE = 1e-6
-BITS = 1 << 27
+BITS, SLOTS = 1 << 27, 64
 #: About how many tokens' n-grams one shard holds, and how many n-grams a task gathers before it sends them.
-SHARD, GATHERED = 1 << 21, 4_000_000
-#: The end of a text, and what stands before its first word. No word holds a line's end.
-END = b"\n"
+SHARD, GATHERED = 1 << 21, 1_500_000
+SLICE_BYTES = 1 << 20
+#: The end of a text, and what stands before its first word, as a hash.
+END = 0x2545F4914F6CDD1D
 FOLDS, HELD_OUT = 7, 2
 
 
-def _texts(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[list[list[bytes]]]:
+def _slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(0, batch.num_rows, size):
-            yield [words(t.as_py()) for t in batch.column(0).slice(k, size)]
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """texts(text) -> (word, n), ends included; counted per task before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            arrays = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(arrays, names=["word", "n"])
-
-        for part in _texts(batches):
-            counts.update(chain.from_iterable(part))
-            counts[END] += len(part)
-            if len(counts) > 300_000:
-                yield out()
-        yield out()
-
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class _Hashes(dict):
-    """Words' hashes, equal to Spark's xxhash64 of the word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word, 42)
-        return out
+        for a, n in slices(batch.column(at), SLICE_BYTES):
+            yield batch.slice(a, n)
 
 
 def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A key >= 0 of each ordered pair of word hashes."""
     u = np.uint64
-    x = a.view(u) * u(0x9E3779B97F4A7C15) + b.view(u) + u(2)
-    x = (x ^ (x >> u(29))) * u(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> u(32))) * u(0x94D049BB133111EB)
-    return ((x ^ (x >> u(31))) >> u(1)).view(np.int64)
+    return (mix(a.view(u) * u(0x9E3779B97F4A7C15) + b.view(u)) >> u(1)).view(np.int64)
 
 
 def _triple_key(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
-    """A key >= 0 of two pairs that share a word; triple_key() is the same in SQL."""
+    """A key >= 0 of two pairs that share a word."""
     return k1 ^ ((k2 << 1 | k2 >> 62) & 0x7FFFFFFFFFFFFFFF)
 
 
-def triple_key(k1: Column, k2: Column) -> Column:
-    turned = F.shiftleft(k2, 1).bitwiseOR(F.shiftright(k2, 62)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    return k1.bitwiseXOR(turned)
-
-
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
-    """A key's shard, by its high bits; part_of() is the same in SQL."""
+    """A key's shard, by its high bits."""
     return ((keys >> 31) * parts) >> 32
 
 
-def part_of(key: Column, parts: int) -> Column:
-    return F.shiftright(F.shiftright(key, 31) * F.lit(parts).cast("long"), 32).cast("int")
-
-
-def _hashed(part: list[list[bytes]], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of texts, END before and after each; and where each pair that lies in one text begins."""
-    end = np.array([hashes[END]], np.uint64).view(np.int64)[0]
-    sizes = np.fromiter(map(len, part), np.int64, len(part))
+def _hashed(texts: pa.Array, powers: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of texts, END before and after each; where each pair that lies in one text begins; words of each text."""
+    hashes, sizes = word_hashes(texts, powers)
     starts = np.concatenate(([0], np.cumsum(sizes + 2)))[:-1]
-    seq = np.full(int(sizes.sum()) + 2 * len(part), end, np.int64)
+    seq = np.full(len(hashes) + 2 * len(sizes), END, np.int64)
     inner = np.ones(len(seq), bool)
     inner[starts] = inner[starts + sizes + 1] = False
-    seq[inner] = np.fromiter(map(hashes.__getitem__, chain.from_iterable(part)), np.uint64, int(sizes.sum())).view(np.int64)
+    seq[inner] = hashes
     pair = np.ones(max(len(seq) - 1, 0), bool)
     pair[starts[1:] - 1] = False
-    return seq, pair
+    return seq, pair, sizes
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -134,18 +90,63 @@ def _unpack(data, kinds: tuple) -> list[np.ndarray]:
     return out
 
 
-def _dealt(part: np.ndarray, *keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, its rows sorted by the first key) of each shard."""
-    order = np.lexsort((keys[0], part))
+def _dealt(part: np.ndarray, keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, its rows with equal keys together) of each shard."""
+    bits = (parts - 1).bit_length()
+    order = np.argsort((part << (63 - bits)) | (keys >> bits))
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     for own in np.split(order, cuts) if len(order) else ():
         yield int(part[own[0]]), own
 
 
-def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and how often each stands there."""
-    first = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
-    return sorted_keys[first], np.diff(np.concatenate((first, [len(sorted_keys)]))).astype(np.int32)
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys without those that repeat the one before, and how often each stands there."""
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.diff(np.concatenate((first, [len(keys)]))).astype(np.int32)
+
+
+def _packed(rows: DataFrame, parts: int) -> DataFrame:
+    """(shard, data): the rows of a table as packed arrays, dealt by their key, the first column."""
+    kinds = {"bigint": np.int64, "float": np.float32, "int": np.int32}
+    columns = [(c, kinds[t]) for c, t in rows.dtypes]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            whole = pa.Table.from_batches(held)
+            own = [whole.column(c).to_numpy().astype(k, copy=False) for c, k in columns]
+            for at, at_rows in _dealt(_part(own[0], parts), own[0], parts):
+                data = _pack(*(c[at_rows] for c in own))
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([data], pa.binary())], names=["shard", "data"])
+
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size > GATHERED:
+                yield from out()
+                held, size = [], 0
+        if size:
+            yield from out()
+
+    return rows.mapInArrow(run, "shard int, data binary")
+
+
+def _unpacked(packed: DataFrame, kinds: tuple, of: Callable, schema: str) -> DataFrame:
+    """A row for each element of of(columns), a dict of arrays, of each packed row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for d in b.column(0):
+                yield pa.RecordBatch.from_pydict(of(_unpack(d.as_buffer(), kinds)))
+
+    return packed.select("data").mapInArrow(run, schema)
+
+
+def _rows(column: pa.ChunkedArray, kinds: tuple) -> list[np.ndarray]:
+    """The columns that _packed packed."""
+    got = [_unpack(b.as_buffer(), kinds) for b in column]
+    return [np.concatenate(c) for c in zip(*got, strict=True)] if got else [np.empty(0, k) for k in kinds]
 
 
 _COUNTED = (np.int64, np.int32, np.int64, np.int32)
@@ -162,51 +163,68 @@ def _summed(x: np.ndarray, y: np.ndarray, n: np.ndarray, key: Callable) -> list[
     return [x[first], y[first], np.add.reduceat(n, first), k[first]]
 
 
-def _counted(texts: DataFrame, couples: Callable, key: Callable, route: Callable, parts: int) -> DataFrame:
-    """(part, data): packed counts of couples(part, hashes) -> (x, y) over all texts, summed per task, dealt by route(x, key)."""
+def _counted(texts: DataFrame, grams: Callable, keys: list[Callable], route: Callable, parts: int) -> DataFrame:
+    """(kind, part, data): packed counts of each kind of grams(texts, powers) -> [(x, y), ...], summed per task, dealt by route(x, key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, hashes = [], 0, _Hashes()
+        held, size, powers = [], 0, []
 
         def out() -> Iterator[pa.RecordBatch]:
-            x, y = (np.concatenate(c) for c in zip(*held, strict=True))
-            x, y, n, k = _summed(x, y, np.ones(len(x), np.int64), key)
-            for shard, own in _dealt(_part(route(x, k), parts), x):
-                distinct, many = _runs(x[own])
-                data = _pack(distinct, many, y[own], n[own].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([data], pa.binary())], names=["part", "data"])
-
-        for part in _texts(batches):
-            held.append(couples(part, hashes))
-            size += len(held[-1][0])
+            for kind, key in enumerate(keys):
+                x, y = (np.concatenate(c) for c in zip(*(h[kind] for h in held), strict=True))
+                x, y, n, k = _summed(x, y, np.ones(len(x), np.int32), key)
+                for shard, own in _dealt(_part(route(x, k), parts), x, parts):
+                    distinct, many = _runs(x[own])
+                    data = _pack(distinct, many, y[own], n[own].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([shard], pa.int32()), pa.array([data], pa.binary())], names=["kind", "part", "data"])
+
+        for batch in _slices(batches, 0):
+            held.append(grams(batch.column(0), powers))
+            size += len(held[-1][0][0])
             if size > GATHERED:
                 yield from out()
                 held, size = [], 0
         if held:
             yield from out()
 
-    return texts.mapInArrow(run, "part int, data binary")
+    return texts.mapInArrow(run, "kind int, part int, data binary")
 
 
-def _whole(column: pa.ChunkedArray, key: Callable) -> list[np.ndarray]:
-    """The counts of one shard, those seen LEAST times: x, y, n, key."""
+def _whole(column: pa.ChunkedArray, key: Callable, least: int) -> list[np.ndarray]:
+    """The counts of one shard, those seen so often: x, y, n, key."""
     rows = [_unpack(b.as_buffer(), _COUNTED) for b in column]
     if not rows:
         return [np.empty(0, np.int64)] * 4
     x = np.concatenate([np.repeat(r[0], r[1]) for r in rows])
     y, n = (np.concatenate([r[k] for r in rows]) for k in (2, 3))
     got = _summed(x, y, n.astype(np.int64), key)
-    kept = got[2] >= LEAST
+    kept = got[2] >= least
     return [c[kept] for c in got]
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bit key mod BITS is set for each key; at most BITS / 64 rows come to the driver."""
-    at = F.col("key").bitwiseAND(F.lit(BITS - 1))
-    got = keys.select(F.shiftright(at, 6).alias("at"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
-    got = got.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+def _bitmap(packed: DataFrame, kinds: tuple, key: Callable) -> np.ndarray:
+    """Bit key mod BITS is set for each of key(columns); joined in SLOTS pieces on executors, so that BITS bits come to the driver."""
+    wide = BITS // SLOTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = np.unique(np.concatenate([key(_unpack(d.as_buffer(), kinds)) for d in b.column(0)]) & (BITS - 1))
+            for own in np.split(at, np.searchsorted(at, np.arange(1, SLOTS) * wide)):
+                if len(own):
+                    data = (own % wide).astype(np.uint32).tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([own[0] // wide], pa.int32()), pa.array([data], pa.binary())], names=["slot", "data"])
+
+    def join(rows: pa.Table) -> pa.Table:
+        flags = np.zeros(wide, np.uint8)
+        for d in rows.column("data"):
+            flags[np.frombuffer(d.as_buffer(), np.uint32)] = 1
+        return pa.table([rows.column("slot")[:1].combine_chunks(), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["slot", "bits"])
+
     out = np.zeros(BITS // 64, np.int64)
-    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    for slot, bits in packed.select("data").mapInArrow(run, "slot int, data binary").groupBy("slot").applyInArrow(join, "slot int, bits binary").collect():
+        out[slot * wide // 64 : (slot + 1) * wide // 64] = np.frombuffer(bits, np.int64)
     return out
 
 
@@ -244,65 +262,70 @@ def _attached(df: DataFrame, on: str, often: DataFrame, rest: DataFrame) -> Data
 
 
 class Model:
-    """What scoring needs: the lexicon (word, n, w) and the trie's shards as written tables, and the broadcast share.
+    """What scoring needs: the shards as a written table, and the broadcast share.
 
-    frequent: keys, values and triples' keys and values, bounded by RARE; bits: the bitmaps of kept pairs and triples.
+    frequent: words, pairs and triples with their values, bounded by RARE; bits: the bitmaps of kept pairs and triples.
     """
 
-    def __init__(self, lexicon: DataFrame, shards: DataFrame, parts: int, tokens: int, norm: int, least: int, frequent: tuple, bits: tuple):
-        self.lexicon, self.shards, self.parts, self.tokens, self.norm = lexicon, shards, parts, tokens, norm
-        self.least, self.frequent, self.bits = least, frequent, bits
+    def __init__(self, shards: DataFrame, parts: int, tokens: int, norm: int, frequent: tuple, bits: tuple):
+        self.shards, self.parts, self.tokens, self.norm, self.frequent, self.bits = shards, parts, tokens, norm, frequent, bits
 
 
 def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
     """The model of texts(text)."""
     spark = texts.sparkSession
-    counts = scratch.keep(word_counts(texts), "words")
-    tokens, kinds = (x or 0 for x in counts.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first())
-    norm, least = tokens + kinds + 1, max(LEAST, int(np.ceil(rare * tokens)))
-    parts = max(shuffle_partitions(spark), -(-tokens // SHARD))
-    often = F.col("n") >= least
-    log = lambda c: F.log10(c)
+    # Shards as the rows' bytes have it; a token takes about six.
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-size // (6 * SHARD)))
+    log = F.log10
+    first_key, own_key = (lambda x, y: x), (lambda x, k: k)
 
-    def pairs_of(part, hashes):
-        seq, pair = _hashed(part, hashes)
-        return seq[:-1][pair], seq[1:][pair]
+    def pairs_of(texts, powers):
+        seq, pair, _ = _hashed(texts, powers)
+        # Each word that ends a pair, and so each text's last END, is one token.
+        return (seq[1:][pair], np.zeros(int(pair.sum()), np.int64)), (seq[:-1][pair], seq[1:][pair])
 
     def pairs_kept(rows: pa.Table) -> pa.Table:
-        return pa.table(dict(zip(("x", "y", "n", "key"), _whole(rows.column("data"), _pair_key), strict=True)))
+        kind = rows.column("kind")[0].as_py()
+        x, y, n, key = _whole(rows.column("data"), _pair_key if kind else first_key, LEAST if kind else 1)
+        return pa.table({"kind": np.full(len(x), kind, np.int32), "x": x, "y": y, "n": n, "key": key})
 
-    dealt = _counted(texts, pairs_of, _pair_key, lambda x, k: k, parts)
-    pairs = scratch.keep(dealt.groupBy("part").applyInArrow(pairs_kept, "x long, y long, n long, key long"), "pairs")
+    dealt = _counted(texts, pairs_of, [first_key, _pair_key], own_key, parts)
+    counts = scratch.keep(dealt.groupBy("kind", "part").applyInArrow(pairs_kept, "kind int, x long, y long, n long, key long"), "counts")
     _free(spark)
+    words, pairs = counts.filter("kind = 0").select("x", "n"), counts.filter("kind = 1").drop("kind")
+    tokens, kinds = (x or 0 for x in words.agg(F.sum("n"), F.count(F.lit(1))).first())
+    norm, least = tokens + kinds + 1, max(LEAST, int(np.ceil(rare * tokens)))
+    often = F.col("n") >= least
     # Every word of a text is followed by one, and END stands before each text, so n(x) is x's count.
     mass = pairs.groupBy("x").agg(F.sum(F.col("n") - DISCOUNT).alias("mass"))
-    known = counts.withColumn("x", F.xxhash64("word")).join(mass, "x", "left")
     w = F.coalesce(log(1 - F.col("mass") / F.col("n")), F.lit(0.0))
-    lexicon = scratch.keep(known.select("word", "n", w.alias("w"), "x"), "lexicon")
-    scratch.drop(counts)
+    lexicon = scratch.keep(words.join(mass, "x", "left").select("x", "n", w.alias("w")), "lexicon")
     heads = lexicon.filter(F.col("n") >= LEAST).select("x", F.col("n").alias("nx"), "w")
-    tails = lexicon.filter(F.col("n") >= LEAST).select(F.col("x").alias("y"), ((F.col("n") + 1) / norm).alias("p1"))
-    usual = F.col("nx") >= least
-    both = _attached(pairs, "x", heads.filter(usual), heads.filter(~usual))
-    usual = F.col("p1") >= (least + 1) / norm
-    both = _attached(both, "y", tails.filter(usual), tails.filter(~usual))
-    p2 = (F.col("n") - DISCOUNT) / F.col("nx") + F.pow(F.lit(10.0), "w") * F.col("p1")
-    value = log(F.col("p2")) - log(F.col("p1")) - F.col("w")
-    both = both.withColumn("p2", p2).select("key", "n", F.col("p2").cast("float").alias("p2"), value.cast("float").alias("v"))
-    both = scratch.keep(both, "pairs2")
-    scratch.drop(pairs)
+    tails = lexicon.filter(F.col("n") >= LEAST).select(F.col("x").alias("y"), F.col("n").alias("ny"))
+    both = _attached(pairs, "x", heads.filter(F.col("nx") >= least), heads.filter(F.col("nx") < least))
+    both = _attached(both, "y", tails.filter(F.col("ny") >= least), tails.filter(F.col("ny") < least))
+    p1 = (F.col("ny") + 1) / F.lit(float(norm))
+    p2 = (F.col("n") - DISCOUNT) / F.col("nx") + F.pow(F.lit(10.0), "w") * p1
+    value = log(p2) - log(p1) - F.col("w")
+    both = _packed(both.select("key", "n", p2.cast("float").alias("p2"), value.cast("float").alias("v")), parts)
+    both, of_pair = scratch.keep(both, "pairs"), (np.int64, np.int64, np.float32, np.float32)
+    scratch.drop(counts)
     _free(spark)
 
-    hot = _columns(both.filter(often), "key", "n", "p2", "v")  # at most 1 / rare rows
-    bits2 = _bitmap(both)
+    def hot_pairs(columns):
+        return {c: v[columns[1] >= least] for c, v in zip(("key", "n", "p2", "v"), columns, strict=True)}
+
+    hot = _columns(_unpacked(both, of_pair, hot_pairs, "key long, n long, p2 float, v float"), "key", "n", "p2", "v")  # at most 1 / rare rows
+    bits2 = _bitmap(both, of_pair, lambda columns: columns[0])
     get = shared(spark, (hot[0], hot[2], bits2))
 
-    def triples_of(part, hashes):
-        seq, pair = _hashed(part, hashes)
+    def triples_of(texts, powers):
+        seq, pair, _ = _hashed(texts, powers)
         keys = _pair_key(seq[:-1], seq[1:])
         good = pair & _passes(get()[2], keys)
         both = good[:-1] & good[1:]
-        return keys[1:][both], keys[:-1][both]
+        return ((keys[1:][both], keys[:-1][both]),)
 
     def key_of(y, x):
         return _triple_key(x, y)
@@ -311,35 +334,47 @@ def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
         return np.where(_place(get()[0], y)[1], k, y)
 
     def triples_kept(own: pa.Table, rows: pa.Table) -> pa.Table:
-        y, x, n, k = _whole(rows.column("data"), key_of)
-        held, p = own.column("key").to_numpy(), own.column("p2").to_numpy()
+        y, x, n, k = _whole(rows.column("data"), key_of, LEAST)
+        held, _, p, _ = _rows(own.column("data"), of_pair)
         order = np.argsort(held)
         at, here = _place(held[order], y)
         near, often_ = _place(get()[0], y)
         p2 = np.where(here, p[order][at] if len(p) else 0.0, np.where(often_, get()[1][near] if len(get()[1]) else 0.0, 0.0))
-        shard = _part(np.where(_place(get()[0], x)[1], k, x), parts).astype(np.int32)
         kept = p2 > 0  # a bitmap passes some pairs that are not kept
-        return pa.table({"shard": shard[kept], "x": x[kept], "y": y[kept], "n": n[kept], "p2": p2[kept].astype(np.float32)})
-
-    asked = both.select("key", "p2", part_of(F.col("key"), parts).alias("part")).groupBy("part")
-    dealt = _counted(texts, triples_of, key_of, to_second, parts).groupBy("part")
-    triples = scratch.keep(asked.cogroup(dealt).applyInArrow(triples_kept, "shard int, x long, y long, n long, p2 float"), "triples")
+        x, y, n, k, p2 = x[kept], y[kept], n[kept], k[kept], p2[kept].astype(np.float32)
+        dealt = list(_dealt(_part(np.where(_place(get()[0], x)[1], k, x), parts), x, parts))
+        data = [_pack(x[at], y[at], n[at], p2[at]) for _, at in dealt]
+        return pa.table([pa.array([shard for shard, _ in dealt], pa.int32()), pa.array(data, pa.binary())], names=["shard", "data"])
+
+    dealt = _counted(texts, triples_of, [key_of], to_second, parts).groupBy("part")
+    triples = both.groupBy("shard").cogroup(dealt).applyInArrow(triples_kept, "shard int, data binary")
+    triples, of_triple = scratch.keep(triples, "triples"), (np.int64, np.int64, np.int64, np.float32)
     _free(spark)
 
     # Contexts that are broadcast lie in many shards, so the mass of their triples is summed here: at most 1 / rare rows.
-    hot_keys = F.broadcast(both.filter(often).select(F.col("key").alias("x")))
-    spent = _columns(triples.join(hot_keys, "x").groupBy("x").agg(F.sum(F.col("n") - DISCOUNT).alias("mass")), "x", "mass")
+    def spent_by(columns):
+        own = _place(get()[0], columns[0])[1]
+        key, at = np.unique(columns[0][own], return_inverse=True)
+        return {"x": key, "mass": np.bincount(at, columns[2][own] - DISCOUNT, len(key))}
+
+    spent = _unpacked(triples, of_triple, spent_by, "x long, mass double")
+    spent = _columns(spent.groupBy("x").agg(F.sum("mass").alias("mass")), "x", "mass")
     at, here = _place(spent[0], hot[0])
     back = np.log10(1 - np.where(here, spent[1][at] if len(spent[1]) else 0.0, 0.0) / np.maximum(hot[1], 1))
     contexts = shared(spark, (hot[0], hot[1], back))
 
     def shard_of(rows: pa.Table) -> pa.Table:
         own_hot, many, rest = contexts()
-        x, y, n, p = (rows.column(c).to_numpy() for c in ("x", "y", "n", "p2"))
-        pair, triple = y < 0, y >= 0
-        order = np.argsort(x[pair])
-        key, total, value = x[pair][order], n[pair][order], p[pair][order].astype(np.float64)
-        x, y, n, p = x[triple], y[triple], n[triple], p[triple].astype(np.float64)
+        word, pair, triple = (rows.filter(pc.equal(rows.column("kind"), k)).column("data") for k in range(3))
+        x, n, w = _rows(word, of_word)
+        order = np.argsort(x)
+        vocabulary = _pack(x[order], n[order], w[order])
+        key, total, _, value = _rows(pair, of_pair)
+        order = np.argsort(key)
+        order = order[total[order] < least]
+        key, total, value = key[order], total[order], value[order].astype(np.float64)
+        x, y, n, p = _rows(triple, of_triple)
+        p = p.astype(np.float64)
         near, wide = _place(own_hot, x)
         strange = ~wide & ~_place(key, x)[1]  # a bitmap passes some contexts that are not kept
         x, y, n, p, near, wide = (c[~strange] for c in (x, y, n, p, near, wide))
@@ -355,176 +390,146 @@ def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
         trie = Trie.build(keys, first, owner, short_key(y), second)
         heavy = n >= least
         found = _pack(_triple_key(x, y)[heavy], second[heavy])
-        return pa.table([pa.array([rows.column("shard")[0].as_py()], pa.int32()), pa.array([trie.dump()], pa.binary()), pa.array([found], pa.binary())], names=["shard", "levels", "heavy"])
-
-    own = both.filter(~often).select(
-        part_of(F.col("key"), parts).alias("shard"), F.col("key").alias("x"), F.lit(-1).cast("long").alias("y"), "n", F.col("v").alias("p2")
-    )
-    built = own.unionByName(triples).groupBy("shard").applyInArrow(shard_of, "shard int, levels binary, heavy binary")
-    shards = scratch.keep(built, "trie")
-    bits3 = _bitmap(triples.select(triple_key(F.col("x"), F.col("y")).alias("key")))
-    scratch.drop(both, triples)
+        columns = [pa.array([d], pa.binary()) for d in (vocabulary, trie.dump(), found)]
+        return pa.table([pa.array([rows.column("shard")[0].as_py()], pa.int32()), *columns], names=["shard", "words", "levels", "heavy"])
+
+    lexicon_rows = lexicon.filter(~often).select("x", "n", F.col("w").cast("float").alias("w"))
+    of_word = (np.int64, np.int64, np.float32)
+    built = [df.withColumn("kind", F.lit(k)) for k, df in enumerate((_packed(lexicon_rows, parts), both, triples))]
+    built = built[0].unionByName(built[1]).unionByName(built[2])
+    built = built.groupBy("shard").applyInArrow(shard_of, "shard int, words binary, levels binary, heavy binary")
+    shards = scratch.keep(built, "shards")
+    bits3 = _bitmap(triples, of_triple, lambda columns: _triple_key(columns[0], columns[1]))
+    often_words = _columns(lexicon.filter(often), "x", "n", "w")  # at most 1 / rare rows
+    scratch.drop(both, triples, lexicon)
     _free(spark)
     got = [_unpack(r[0], (np.int64, np.float64)) for r in shards.select("heavy").collect()]  # at most 1 / rare triples
-    keys3, value3 = (np.concatenate([g[k] for g in got]) if got else np.empty(0) for k in (0, 1))
-    order = np.argsort(keys3)
-    frequent = (hot[0], hot[3].astype(np.float64) + back, keys3[order].astype(np.int64), value3[order])
-    return Model(lexicon.drop("x"), shards.select("shard", "levels"), parts, tokens, norm, least, frequent, (bits2, bits3))
+    heavy = [np.concatenate([g[k] for g in got]) if got else np.empty(0, k and float or np.int64) for k in (0, 1)]
+    frequent = (*often_words, hot[0], hot[3].astype(np.float64) + back, *heavy)
+    return Model(shards.select("shard", "words", "levels"), parts, tokens, norm, frequent, (bits2, bits3))
 
 
-def _mark(doc_id, text: str | None) -> tuple[int, int]:
-    """128 bits of a row's id and text, as two numbers: rows with equal marks are equal and score equally."""
-    raw = xxhash.xxh3_128_digest(f"{doc_id!r}\0".encode() + (text.encode("utf-8", "surrogatepass") if text else b""))
-    return tuple(np.frombuffer(raw, np.int64).tolist())
+class _Frequent:
+    """The broadcast share, ready for look-ups."""
 
+    def __init__(self, given: tuple):
+        (words, n, w, pairs, self.pair_values, triples, self.triple_values), (self.bits2, self.bits3), norm = given
+        self.words, self.pairs, self.triples = (Map(k, np.arange(len(k))) for k in (words, pairs, triples))
+        self.log = np.log10((n + 1) / norm)
+        self.full = self.log + w  # with the word's weight as a context; END stands once on either side of a text
 
-_ASKED = (np.int64, np.int32, np.uint32, np.uint8, np.int32, np.int64, np.int64, np.float64)
 
+#: Contexts and successors asked, by which document; documents' marks; what is known of them already; words asked, by whom.
+_ASKED = (np.int64, np.int32, np.uint32, np.uint8, np.int32, np.int64, np.int64, np.int64, np.int64, np.float64, np.float64, np.int64, np.int32)
+_ANSWER = (("hi", np.int64), ("lo", np.int64), ("origin", np.int32), ("n", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64))
 
-def context_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """(hi, lo, grams): for each mark of docs(doc_id, text) the sum of the values of its pairs and triples."""
-    get, parts = shared(docs.sparkSession, (*model.frequent, *model.bits)), model.parts
+
+def text_scores(marked: DataFrame, model: Model) -> DataFrame:
+    """marked(text, hi, lo) -> (hi, lo, n, known, base, score) for each distinct mark."""
+    parts, norm = model.parts, model.norm
+    get = shared(marked.sparkSession, (model.frequent, model.bits, norm), _Frequent)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        keys2, value2, keys3, value3, bits2, bits3 = get()
-        origin, hashes, seen = TaskContext.get().partitionId(), _Hashes(), set()
-        held, marks, sums, size = [], [], [], 0
+        own, powers = get(), []
+        origin, seen = TaskContext.get().partitionId(), set()
+        held, marks, size = [], 0, 0
 
         def row(shard: int, arrays: tuple) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([origin], pa.int32()), pa.array([_pack(*arrays)], pa.binary())], names=["shard", "origin", "data"]
-            )
+            data = _pack(*(np.asarray(a, k) for a, k in zip(arrays, _ASKED, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([origin], pa.int32()), pa.array([data], pa.binary())], names=["shard", "origin", "data"])
 
         def out() -> Iterator[pa.RecordBatch]:
-            x, kid, route, who = (np.concatenate(c) for c in zip(*held, strict=True))
-            hi, lo = (np.array(c, np.int64) for c in zip(*marks, strict=True))
-            none = np.empty(0, np.int64)
-            yield row(origin % parts, (none, none.astype(np.int32), none.astype(np.uint32), none.astype(np.uint8), none.astype(np.int32), hi, lo, np.concatenate(sums)))
-            for shard, own in _dealt(_part(route, parts), x):
-                distinct, many = _runs(x[own])
-                docs_, at = np.unique(who[own], return_inverse=True)
-                ext = kid[own]
-                yield row(shard, (distinct, many, (ext & 0xFFFFFFFF).astype(np.uint32), (ext >> 32).astype(np.uint8), at.astype(np.int32), hi[docs_], lo[docs_], np.empty(0)))
-
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                rows = batch.slice(a, 256)
-                own = [(_mark(i, t), t) for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)]
-                fresh = dict(r for r in own if r[0] not in seen)
-                if not fresh:
-                    continue
-                seen.update(fresh)
-                part = [words(t) for t in fresh.values()]
-                seq, pair = _hashed(part, hashes)
-                keys = _pair_key(seq[:-1], seq[1:])
-                owner = np.repeat(np.arange(len(part)), [len(w) + 2 for w in part])[:-1]
-                near, often = _place(keys2, keys)
-                often &= pair
-                rest = pair & ~often & _passes(bits2, keys)  # pairs that a shard may know
-                total = np.bincount(owner[often], value2[near[often]], len(part))
-                both = np.zeros(len(keys), bool)  # triples, by the place of their first pair
-                both[:-1] = (often | rest)[:-1] & (often | rest)[1:]
-                first = np.flatnonzero(both)
-                third = _triple_key(keys[first], keys[first + 1])
-                near, known = _place(keys3, third)
-                total += np.bincount(owner[first[known]], value3[near[known]], len(part))
-                wanted = ~known & _passes(bits3, third)
-                kid = np.zeros(len(keys), np.int64)
-                kid[first[wanted]] = short_key(keys[first[wanted] + 1])
-                route = keys.copy()
-                route[first[wanted]] = np.where(often[first[wanted]], third[wanted], route[first[wanted]])
-                asks = np.flatnonzero(rest | (kid > 0))
-                held.append((keys[asks], kid[asks], route[asks], owner[asks] + len(marks)))
-                marks += fresh
-                sums.append(total)
-                size += len(asks) + 8 * len(part)
-                if size > GATHERED // 4:
-                    yield from out()
-                    held, marks, sums, size = [], [], [], 0
+            x, kid, route, who, word, word_who, hi, lo, n, known, base, score = (np.concatenate(c) for c in zip(*held, strict=True))
+            none = ()
+            yield row(origin % parts, (none, none, none, none, none, hi, lo, n, known, base, score, none, none))
+            grams, of_words = (dict(_dealt(_part(r, parts), k, parts)) for r, k in ((route, x), (word, word)))
+            nobody = np.empty(0, np.int64)
+            for shard in sorted(grams.keys() | of_words.keys()):
+                g, t = grams.get(shard, nobody), of_words.get(shard, nobody)
+                distinct, many = _runs(x[g]) if len(g) else (none, none)
+                docs_, at = np.unique(np.concatenate((who[g], word_who[t])), return_inverse=True)
+                yield row(shard, (distinct, many, kid[g] & 0xFFFFFFFF, kid[g] >> 32, at[: len(g)], hi[docs_], lo[docs_], none, none, none, none, word[t], at[len(g) :]))
+
+        for batch in _slices(batches, 0):
+            hi, lo = (batch.column(k).to_numpy() for k in (1, 2))
+            fresh = []
+            for i, mark in enumerate(zip(hi.tolist(), lo.tolist(), strict=True)):
+                if mark not in seen:
+                    seen.add(mark)
+                    fresh.append(i)
+            if not fresh:
+                continue
+            seq, pair, sizes = _hashed(batch.column(0).take(pa.array(fresh)), powers)
+            docs_ = len(fresh)
+            owner = np.repeat(np.arange(docs_), sizes + 2)
+            last = np.ones(len(seq), bool)  # all but each text's first END are tokens
+            last[np.concatenate(([0], np.cumsum(sizes + 2)))[:-1]] = False
+            token, whose = seq[last], owner[last]
+            at = own.words(token)
+            here = at >= 0
+            log, full = (np.bincount(whose[here], v[at[here]], docs_) for v in (own.log, own.full))
+            keys, owner = _pair_key(seq[:-1], seq[1:]), owner[:-1]
+            good = np.flatnonzero(pair & _passes(own.bits2, keys))
+            at2 = own.pairs(keys[good])
+            often = np.zeros(len(keys), bool)
+            often[good] = at2 >= 0
+            rest = np.zeros(len(keys), bool)  # pairs that a shard may know
+            rest[good] = at2 < 0
+            at2, good = at2[at2 >= 0], good[at2 >= 0]
+            score = full + np.bincount(owner[good], own.pair_values[at2], docs_)
+            both = np.flatnonzero((often | rest)[:-1] & (often | rest)[1:])  # triples, by the place of their first pair
+            third = _triple_key(keys[both], keys[both + 1])
+            maybe = _passes(own.bits3, third)
+            both, third = both[maybe], third[maybe]
+            at3 = own.triples(third)
+            score += np.bincount(owner[both[at3 >= 0]], own.triple_values[at3[at3 >= 0]], docs_)
+            both, third = both[at3 < 0], third[at3 < 0]
+            kid, route = np.zeros(len(keys), np.int64), keys.copy()
+            kid[both] = short_key(keys[both + 1])
+            route[both] = np.where(often[both], third, keys[both])
+            asks = np.flatnonzero(rest | (kid > 0))
+            held.append((keys[asks], kid[asks], route[asks], owner[asks] + marks, token[~here], whose[~here] + marks, hi[fresh], lo[fresh],
+                         sizes + 1, np.bincount(whose[here], minlength=docs_), log, score))
+            marks += docs_
+            size += len(asks) + int((~here).sum()) + 8 * docs_
+            if size > GATHERED // 2:
+                yield from out()
+                held, marks, size = [], 0, 0
         if held:
             yield from out()
 
     def answer(shards: pa.Table, rows: pa.Table) -> pa.Table:
-        trie = Trie.load(shards.column("levels")[0].as_buffer()) if shards.num_rows else None
+        if shards.num_rows:
+            trie = Trie.load(shards.column("levels")[0].as_buffer())
+            words, n, w = _unpack(shards.column("words")[0].as_buffer(), (np.int64, np.int64, np.float32))
+        else:
+            trie, words, n, w = None, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
         found = []
         for origin, data in zip(rows.column("origin").to_pylist(), rows.column("data"), strict=True):
-            x, many, low, high, who, hi, lo, direct = _unpack(data.as_buffer(), _ASKED)
-            sums = direct if len(direct) else np.zeros(len(hi))
-            if trie is not None and len(who):
-                kids = low.astype(np.int64) | (high.astype(np.int64) << 32)
-                sums = sums + np.bincount(who, trie.values(np.repeat(x, many), kids), len(hi))
-            found.append((hi, lo, np.full(len(hi), origin, np.int32), sums))
-        cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.float64)]
-        return pa.table(dict(zip(("hi", "lo", "origin", "grams"), cols, strict=True)))
-
-    asked = docs.select("doc_id", "text").mapInArrow(ask, "shard int, origin int, data binary")
-    found = model.shards.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, "hi long, lo long, origin int, grams double")
+            x, many, low, high, who, hi, lo, size, known, base, score, word, whose = _unpack(data.as_buffer(), _ASKED)
+            docs_ = len(hi)
+            if not len(size):
+                at, here = _place(words, word)
+                times = np.where(here, n[at] if len(n) else 0, 0)
+                size, known = np.zeros(docs_, np.int64), np.bincount(whose[here], minlength=docs_)
+                base = np.bincount(whose, np.log10((times + 1) / norm), docs_)
+                score = base + np.bincount(whose[here], w[at[here]], docs_)
+                if trie is not None and len(who):
+                    kids = low.astype(np.int64) | (high.astype(np.int64) << 32)
+                    score = score + np.bincount(who, trie.values(np.repeat(x, many), kids), docs_)
+            found.append((hi, lo, np.full(docs_, origin), size, known, base, score))
+        cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [()] * len(_ANSWER)
+        return pa.table({name: np.asarray(c, kind) for (name, kind), c in zip(_ANSWER, cols, strict=True)})
+
+    asked = marked.select("text", "hi", "lo").mapInArrow(ask, "shard int, origin int, data binary")
+    schema = "hi long, lo long, origin int, n long, known long, base double, score double"
+    found = model.shards.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, schema)
     # Equal rows in several tasks have asked each for themselves.
-    found = found.groupBy("hi", "lo", "origin").agg(F.sum("grams").alias("grams"))
-    return found.groupBy("hi", "lo").agg(F.max("grams").alias("grams"))
-
-
-def _lexicon(given: tuple[dict, int]) -> tuple[dict, dict]:
-    """The unigram value of words, alone and with the word's weight as a context; END stands once on either side of a text."""
-    own, norm = given
-    log = {w: float(np.log10((n + 1) / norm)) for w, n in zip(own["word"], own["n"], strict=True)}
-    return log, {w: log[w] + b for w, b in zip(own["word"], own["w"], strict=True)}
-
-
-def score_texts(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
-    """docs(doc_id, text) with n_tokens, n_known, base_score and score."""
-    often, norm = F.col("n") >= model.least, model.norm
-    own = model.lexicon.filter(often).toArrow()  # at most 1 / rare words
-    get = shared(docs.sparkSession, (own.select(["word", "n", "w"]).to_pydict(), norm), _lexicon)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 40
-        log, full = get()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                marks, sizes, seen, plain, with_back, tails = [], [], [], [], [], []
-                for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                    w = [*words(t), END]
-                    tail = Counter(x for x in w if x not in log)
-                    marks.append(_mark(i, t))
-                    sizes.append(len(w))
-                    seen.append(len(w) - sum(tail.values()))
-                    plain.append(sum(log[x] for x in w if x in log))
-                    with_back.append(sum(full[x] for x in w if x in full))
-                    tails.append(tail)
-                ends = np.concatenate(([0], np.cumsum([len(t) for t in tails]))).astype(np.int32)
-                lists = [
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array([w for t in tails for w in t], pa.binary())),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array([n for t in tails for n in t.values()], pa.int64())),
-                ]
-                numbers = pa.array(np.arange(number, number + len(marks)), pa.int64())
-                number += len(marks)
-                longs = [pa.array(c, pa.int64()) for c in ([m[0] for m in marks], [m[1] for m in marks], sizes, seen)]
-                doubles = [pa.array(c, pa.float64()) for c in (plain, with_back)]
-                names = ["doc_id", "row", "hi", "lo", "n_tokens", "seen", "plain", "backed", "tail", "times"]
-                yield pa.RecordBatch.from_arrays([rows.column(0), numbers, *longs, *doubles, *lists], names=names)
-
-    schema = f"doc_id {kind}, row long, hi long, lo long, n_tokens long, seen long, plain double, backed double, tail array<binary>, times array<long>"
-    parts = scratch.keep(docs.select("doc_id", "text").mapInArrow(run, schema), "parts")
-    tail = parts.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
-    n, zero = F.coalesce(F.col("n"), F.lit(0)), F.lit(0.0)
-    rest = tail.join(model.lexicon.filter(~often), "word", "left").groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(norm)))).alias("rest"),
-        F.sum(F.col("times") * F.coalesce("w", zero)).alias("back"),
-    )
-    out = parts.drop("tail", "times").join(rest, "row", "left").join(context_scores(docs, model), ["hi", "lo"], "left")
-    more = F.coalesce("rest", zero)
-    return out.select(
-        "doc_id", "n_tokens", (F.col("seen") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        (F.col("plain") + more).alias("base_score"), (F.col("backed") + more + F.coalesce("back", zero) + F.coalesce("grams", zero)).alias("score"),
-    )
+    sums = ("n", "known", "base", "score")
+    found = found.groupBy("hi", "lo", "origin").agg(*[F.sum(c).alias(c) for c in sums])
+    return found.groupBy("hi", "lo").agg(*[F.max(c).alias(c) for c in sums])
 
 
 def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RARE) -> DataFrame:
@@ -532,15 +537,18 @@ def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RAR
 
     Learns from documents whose crc32(doc_id) mod 7 is not 2 and scores all. A null or empty text is its end
     alone. Equal texts score equally; repeated rows are texts of their own; a null doc_id counts as the empty
-    string. Extra columns are not read; an empty table gives an empty result.
+    string. Extra columns are not read; an empty table gives an empty result. A row is known by 128 bits of its id and text.
     """
     scratch = scratch or Scratch(docs.sparkSession)
     held = fold(F.col("doc_id"), FOLDS) == HELD_OUT
     model = train(docs.filter(~held).select("text"), scratch, rare)
-    out = score_texts(docs, model, scratch)
-    return out.withColumn("held_out", held).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hi"), F.xxhash64(F.lit(1), "text", "doc_id").alias("lo"))
+    out = marked.drop("text").join(text_scores(marked, model), ["hi", "lo"], "left")
+    return out.select(
+        "doc_id", held.alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
+    )
 
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*columns)
+    return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tessera.llm.common import shared, table
+from tessera.llm.lookup import Map, slices
 
 #: The model's file; it is read, never copied.
 MODEL = os.environ.get("TESSERA_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -39,41 +40,6 @@ SLICE_BYTES = 2 << 20
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Map:
-    """A fixed map from distinct numbers >= 0 to numbers >= 0, looked up for many at once; -1 where there is none."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(4 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
-        left = np.arange(len(keys))
-        slot = self._slot(keys)
-        while len(left):
-            free = self.keys[slot] < 0
-            self.keys[slot[free]] = keys[left[free]]  # of several for one slot the last stays
-            own = self.keys[slot] == keys[left]
-            self.values[slot[own]] = values[left[own]]
-            left, slot = left[~own], (slot[~own] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * _MULTIPLY) >> self.shift).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._slot(keys)
-        held = self.keys[slot]
-        out = np.where(held == keys, self.values[slot], -1)
-        at = np.flatnonzero((held != keys) & (held >= 0))
-        slot = slot[at]
-        while len(at):
-            slot = (slot + 1) & self.mask
-            held = self.keys[slot]
-            hit = held == keys[at]
-            out[at[hit]] = self.values[slot[hit]]
-            more = ~hit & (held >= 0)
-            at, slot = at[more], slot[more]
-        return out
-
-
 class Pieces:
     """A model's pieces, with encode() and decode()."""
 
@@ -167,7 +133,7 @@ class Pieces:
                 if at == len(ends):
                     ends.append(-1)
             ends[at] = i
-        self.child = _Map(np.fromiter(nodes, np.int64, len(nodes)), np.fromiter(nodes.values(), np.int64, len(nodes)))
+        self.child = Map(np.fromiter(nodes, np.int64, len(nodes)), np.fromiter(nodes.values(), np.int64, len(nodes)))
         self.ends = np.array(ends, np.int32)
         stride = self.stride = self.unknown + 1
         pairs = {}
@@ -176,7 +142,7 @@ class Pieces:
                 a, b = self.number.get(p[:k]), self.number.get(p[k:])
                 if a is not None and b is not None:
                     pairs[a * stride + b] = steps[s]
-        self.joined = _Map(np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs)))
+        self.joined = Map(np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs)))
         #: The last answers of fits(), by a slot for each pair.
         self.asked, self.answers = np.full(1 << 19, -1, np.int64), np.zeros(1 << 19, bool)
 
@@ -448,17 +414,6 @@ class Pieces:
         return same
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Neighbouring texts, together of about SLICE_BYTES."""
-    sizes = np.cumsum(np.nan_to_num(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        done = int(sizes[at - 1]) if at else 0
-        end = max(at + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, "right")))
-        yield at, end - at
-        at = end
-
-
 def encode_texts(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     """docs(text, ...) with ids (array of int), n_ids and round_trip: whether decoding gives the text back.
 
@@ -473,7 +428,7 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model()
         for batch in batches:
-            for a, n in _slices(batch.column(at)):
+            for a, n in slices(batch.column(at), SLICE_BYTES):
                 part = batch.slice(a, n)
                 texts = part.column(at)
                 ids, ends = pieces.encode_many(texts)

@@ -5,10 +5,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, decontaminate, dom, extract, linededup, lm, pieces, quality, simhash, toxicity, triefile, urlfilter
+from tessera.llm import ann, decontaminate, dom, extract, linededup, lm, lookup, pieces, quality, simhash, toxicity, triefile, urlfilter
 from tessera.llm.common import Scratch, words
 
 DOCS = "doc_id long, text string, lang string, u string, fp long, a long"
@@ -190,6 +191,15 @@ def test_elias_fano():
     assert triefile.EliasFano.build(np.empty(0)).find(np.array([3]))[0] == -1
 
 
+def test_word_hashes_split_as_words_do():
+    rng = np.random.default_rng(0)
+    texts = ["", None, " \n", "A\tÉb C\x0bD", "x" * 5, "X" * 5, "y " * 3] + ["".join(rng.choice(list("abAB \n\té"), 200)) for _ in range(50)] + ["ab" * 800_000 + " tail"]
+    hashes, sizes = lookup.word_hashes(pa.array(texts), [])
+    listed = [w for t in texts for w in words(t)]
+    assert sizes.tolist() == [len(words(t)) for t in texts] and len(hashes) == len(listed)
+    assert len(set(hashes.tolist())) == len(set(listed)) == len(set(zip(hashes.tolist(), listed, strict=True)))
+
+
 def test_trie_from_a_mapped_file(tmp_path):
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 1 << 62, 500))
@@ -205,11 +215,14 @@ def test_trie_from_a_mapped_file(tmp_path):
     assert (empty.values(keys, kids[: len(keys)]) == 0).all()
 
 
+_END = b"\n"  # no word holds a line's end
+
+
 class _Brute:
     """The model of lm in plain Python: words as tuples, no hashes, no quantising."""
 
     def __init__(self, texts):
-        seqs = [[lm.END, *words(t), lm.END] for t in texts]
+        seqs = [[_END, *words(t), _END] for t in texts]
         self.one = Counter(w for s in seqs for w in s[1:])
         self.two, self.three = (Counter(tuple(s[i : i + k]) for s in seqs for i in range(len(s) - k + 1)) for k in (2, 3))
         self.n, self.v = sum(self.one.values()), len(self.one)
@@ -229,7 +242,7 @@ class _Brute:
         return (n - 0.5 if n >= 2 else 0) / total + (1 - self.left[len(context)][context] / total) * self.p(context[1:], w)
 
     def score(self, text):
-        s = [lm.END, *words(text), lm.END]
+        s = [_END, *words(text), _END]
         return sum(math.log10(self.p(tuple(s[max(0, i - 2) : i]), s[i])) for i in range(1, len(s)))
 
 
@@ -245,11 +258,11 @@ def test_lm_against_brute_force(spark):
         assert len(rows) == len(texts) + 3
         for r in rows:
             t = texts[r["doc_id"]]
-            own = [*words(t), lm.END]
+            own = [*words(t), _END]
             assert r["n_tokens"] == len(own) and r["train_tokens"] == brute.n and r["n_known"] == sum(brute.one[w] > 0 for w in own)
             assert abs(r["base_score"] - sum(math.log10(brute.p((), w)) for w in own)) < 1e-9
             assert abs(r["score"] - brute.score(t)) < 1e-3 * len(own), (rare, t)
-    total = [sum(brute.p(c, w) for w in brute.one) + brute.p(c, b"?") for c in ((b"a",), (b"a", b"b"), (lm.END, b"x"))]
+    total = [sum(brute.p(c, w) for w in brute.one) + brute.p(c, b"?") for c in ((b"a",), (b"a", b"b"), (_END, b"x"))]
     assert all(abs(t - 1) < 1e-9 for t in total)  # what the words sum to, with the unseen word's share
     assert lm.lm_scores(df.limit(0)).count() == 0
     assert lm.lm_scores(docs(spark, texts[:4]).withColumn("doc_id", F.lit(None).cast("long"))).count() == 4
