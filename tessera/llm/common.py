@@ -83,6 +83,17 @@ class Scratch:
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def joined_by_share(df: DataFrame, on: str | list[str], often: DataFrame, rest: DataFrame) -> DataFrame:
+    """df joined with the rows of often, which are broadcast, and for what they lack with those of rest: no key of the shuffle is hot.
+
+    often is of proven size; its last column is never null.
+    """
+    some = df.join(F.broadcast(often), on, "left")
+    last = often.columns[-1]
+    missing = some.filter(F.col(last).isNull()).select(*df.columns)
+    return some.filter(F.col(last).isNotNull()).unionByName(missing.join(rest, on))
+
+
 def shared(spark: SparkSession, value, build: Callable | None = None):
     """A function that returns value, or build(value), on executors: one broadcast, made once for each Python worker.
 

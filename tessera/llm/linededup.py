@@ -1,11 +1,10 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run is a table of (a, b, n, top, fresh) with one row for each line key of its batch: a
-128-bit hash, how many documents of the batch hold it, the largest id among them, and
-whether no earlier run knew it. It is bucketed and sorted by hash, so that runs meet in
-merge joins without a shuffle. A new batch merge-anti-joins the runs to find its fresh lines
-and adds its own run to level 0; when a level holds `fanout` runs they are compacted into
-one of the next level. The last compaction leaves one run with each key's totals.
+A run is a table of (a, b, n, top) with one row for each line key that its batch brought first: a 128-bit hash, how
+many documents of the batch hold it, the largest id among them. Runs are bucketed and sorted by hash, so that they meet in
+merge joins without a shuffle, and share no key. A new batch merge-anti-joins the runs: what is left is its own run at
+level 0, the rest are counts of keys known already. When a level holds `fanout` runs they are compacted into one
+of the next level. A key's total is its run's row and the later counts of it.
 """
 
 from __future__ import annotations
@@ -16,7 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, SPACE, UPPER, Scratch, lower_ascii, shuffle_partitions, table
+from tessera.llm.common import LOWER, SPACE, UPPER, Scratch, joined_by_share, lower_ascii, shuffle_partitions, table
+
+
+#: A line key that so large a share of all rows holds is broadcast.
+HOT = 1e-4
 
 
 def split_lines(text: Column) -> Column:
@@ -35,24 +38,19 @@ def key_hash(key: Column) -> Column:
 
 
 def _merge_two(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Two runs as one; no key is in both."""
     x, y = x.hint("merge").alias("x"), y.alias("y")
-    zero, off = F.lit(0).cast("long"), F.lit(False)
-    return x.join(y, ["a", "b"], "full").select(
-        "a",
-        "b",
-        (F.coalesce("x.n", zero) + F.coalesce("y.n", zero)).alias("n"),
-        F.greatest("x.top", "y.top").alias("top"),
-        (F.coalesce("x.fresh", off) | F.coalesce("y.fresh", off)).alias("fresh"),
-    )
+    return x.join(y, ["a", "b"], "full").select("a", "b", F.coalesce("x.n", "y.n").alias("n"), F.coalesce("x.top", "y.top").alias("top"))
 
 
 class LineRuns:
-    """The store: levels of runs, each a bucketed table in the shared folder."""
+    """The store: levels of runs, each a bucketed table in the shared folder, and the counts of keys met again."""
 
     def __init__(self, scratch: Scratch, fanout: int = 2):
         self.scratch, self.spark, self.fanout = scratch, scratch.spark, fanout
         self.buckets = shuffle_partitions(self.spark)
         self.levels: list[list[tuple[str, str]]] = [[]]
+        self.again: list[DataFrame] = []
 
     def _write(self, run: DataFrame) -> tuple[str, str]:
         name, path = f"line_run_{uuid.uuid4().hex}", self.scratch.path("run")
@@ -67,23 +65,22 @@ class LineRuns:
         return [self.spark.table(name) for level in self.levels for name, _ in level]
 
     def fresh(self, batch: DataFrame) -> DataFrame:
-        """The batch's (a, b) that no run holds: one merge anti join for each run."""
+        """The batch's rows whose key no run holds: one merge anti join for each run."""
         for run in self.runs():
             batch = batch.join(run.hint("merge"), ["a", "b"], "left_anti")
         return batch
 
     def add(self, holders: DataFrame) -> None:
         """holders(a, b, doc_id): a row for each document and key of the new batch."""
-        own = holders.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("top"))
-        own = own.withColumn("fresh", F.lit(True))
+        own = self._write(holders.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("top")))
         if any(self.levels):
-            own = self.scratch.keep(own, "batch")
-            new = self.fresh(own)
-            old = own.join(new.select("a", "b"), ["a", "b"], "left_anti").withColumn("fresh", F.lit(False))
-            self.levels[0].append(self._write(new.unionByName(old)))
-            self.scratch.drop(own)
+            batch = self.spark.table(own[0])
+            new = self._write(self.fresh(batch))
+            self.again.append(self.scratch.keep(batch.join(self.spark.table(new[0]).hint("merge"), ["a", "b"], "left_anti"), "again"))
+            self._drop(own)
         else:
-            self.levels[0].append(self._write(own))
+            new = own
+        self.levels[0].append(new)
         for k, level in enumerate(self.levels):
             if len(level) >= self.fanout:
                 if k + 1 == len(self.levels):
@@ -98,14 +95,22 @@ class LineRuns:
             self._drop(run)
         return merged
 
-    def compact(self) -> DataFrame | None:
-        """One run of all, with totals."""
-        runs = [run for level in self.levels for run in level]
-        if not runs:
-            return None
-        last = runs[0] if len(runs) == 1 else self._merge(runs)
-        self.levels = [[last]]
-        return self.spark.read.schema(self.spark.table(last[0]).schema).parquet(last[1])
+    def totals(self, least: int) -> DataFrame:
+        """(a, b, n, top) of the keys that at least so many documents hold."""
+        whole = reduce(_merge_two, self.runs())
+        if self.again:
+            later = reduce(DataFrame.unionByName, self.again).groupBy("a", "b").agg(F.sum("n").alias("more"), F.max("top").alias("last"))
+            whole = whole.join(later, ["a", "b"], "left")
+            whole = whole.select("a", "b", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), F.greatest("top", "last").alias("top"))
+        return whole.filter(F.col("n") >= least)
+
+    def close(self) -> None:
+        """The runs go from the catalogue and the folder."""
+        for level in self.levels:
+            for run in level:
+                self._drop(run)
+        self.scratch.drop(*self.again)
+        self.levels, self.again = [[]], []
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, scratch: Scratch | None = None) -> DataFrame:
@@ -129,9 +134,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     runs = LineRuns(scratch)
     for batch in range(batches):
         runs.add(held.filter(F.col("batch") == batch))
-    repeated = runs.compact().filter(F.col("n") >= min_docs).select("a", "b", "top")
+    repeated = scratch.keep(runs.totals(min_docs), "repeated")
+    runs.close()
+    rows = held.count()
+    # A key that the share HOT of all rows or more holds: there are at most 1 / HOT of them.
+    hot = F.col("n") >= max(1, int(HOT * rows))
     gone = (
-        held.join(repeated, ["a", "b"])
+        joined_by_share(held.drop("batch"), ["a", "b"], repeated.filter(hot).select("a", "b", "top", "n"), repeated.filter(~hot).select("a", "b", "top", "n"))
         .filter("doc_id <> top")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("a", "b")).alias("gone_keys"))

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, fold, shared, shuffle_partitions, table
+from tessera.llm.common import Scratch, fold, joined_by_share, shared, shuffle_partitions, table
 from tessera.llm.lookup import Map, mix, slices, word_hashes
 from tessera.llm.triefile import Trie, short_key
 
@@ -253,14 +253,6 @@ def _free(spark) -> None:
     spark._jvm.System.gc()
 
 
-def _attached(df: DataFrame, on: str, often: DataFrame, rest: DataFrame) -> DataFrame:
-    """df joined with the rows of often, which are broadcast, and for what they lack with those of rest: no key of the shuffle is hot."""
-    some = df.join(F.broadcast(often), on, "left")
-    last = often.columns[-1]
-    missing = some.filter(F.col(last).isNull()).select(*df.columns)
-    return some.filter(F.col(last).isNotNull()).unionByName(missing.join(rest, on))
-
-
 class Model:
     """What scoring needs: the shards as a written table, and the broadcast share.
 
@@ -303,8 +295,8 @@ def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
     lexicon = scratch.keep(words.join(mass, "x", "left").select("x", "n", w.alias("w")), "lexicon")
     heads = lexicon.filter(F.col("n") >= LEAST).select("x", F.col("n").alias("nx"), "w")
     tails = lexicon.filter(F.col("n") >= LEAST).select(F.col("x").alias("y"), F.col("n").alias("ny"))
-    both = _attached(pairs, "x", heads.filter(F.col("nx") >= least), heads.filter(F.col("nx") < least))
-    both = _attached(both, "y", tails.filter(F.col("ny") >= least), tails.filter(F.col("ny") < least))
+    both = joined_by_share(pairs, "x", heads.filter(F.col("nx") >= least), heads.filter(F.col("nx") < least))
+    both = joined_by_share(both, "y", tails.filter(F.col("ny") >= least), tails.filter(F.col("ny") < least))
     p1 = (F.col("ny") + 1) / F.lit(float(norm))
     p2 = (F.col("n") - DISCOUNT) / F.col("nx") + F.pow(F.lit(10.0), "w") * p1
     value = log(p2) - log(p1) - F.col("w")

@@ -311,3 +311,72 @@ def test_propagation_goes_on_while_it_reaches_hosts_and_says_when_unsettled(spar
     monkeypatch.setattr(urlfilter, "SETTLED", 1e9)  # settled at once, but for hosts not yet reached
     got = {r["host"]: r["distrust"] for r in urlfilter.propagate(seeds, edges, Scratch(spark)).collect()}
     assert got["h0"] > 0
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<article><header>" + "<div>" * 3000 + "<h1>Head {0}</h1>" + "</div>" * 3000 + "</header><p>text {0}</p></article>"
+    wide = "<div id=list>" + "".join(f"<div class=c{k % 7}>entry {k} {{0}}</div>" for k in range(20_000)) + "</div><div id=end>the same</div>"
+    flat = "<div>" + "<div class=row>row {0}</div>" * 20_000 + "</div>"
+    rows = [(10 * h + i, f"http://{h}.org/{i}", page.format(i)) for h, page in enumerate((deep, wide, flat)) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(3):
+        assert got[i] == f"Head {i}\n\ntext {i}"
+        assert got[10 + i].count("entry") == 20_000 and "the same" not in got[10 + i]
+        assert got[20 + i] == "\n\n".join([f"row {i}"] * 20_000)
+    empty = spark.createDataFrame([], "page_id long, url string, html string, host string")
+    assert extract.extract_pages(empty).count() == 0
+    twice = spark.createDataFrame([(1, "http://a.org", "<p>x</p>", "h", 1)] * 2, "page_id long, url string, html string, host string, slot int")
+    assert [r["text"] for r in extract.extract_pages(twice).collect()] == ["x", "x"]
+
+
+def brute_match(a, b):
+    """The largest match by trying all alignments of children."""
+    x, y = dom.shape(a), dom.shape(b)
+
+    def best(i, j):
+        if i == len(x) or j == len(y):
+            return 0
+        most = max(best(i + 1, j), best(i, j + 1))
+        if x[i][0].label == y[j][0].label:
+            own = brute_match(x[i][0], y[j][0]) if len(x[i]) == len(y[j]) == 1 else 1
+            most = max(most, own + best(i + 1, j + 1))
+        return most
+
+    return 1 + best(0, 0)
+
+
+def test_tree_matching_against_brute_force():
+    rng = np.random.default_rng(5)
+
+    def tree(depth):
+        tags = rng.choice(["div", "p", "ul", "section"], rng.integers(0, 4))
+        return "".join(f"<{t}>{tree(depth - 1) if depth and t in ('div', 'section') else 'x'}</{t}>" for t in tags)
+
+    for _ in range(60):
+        a, b = dom.parse(tree(3)), dom.parse(tree(3))
+        assert dom.match(a, b)[0] == brute_match(a, b)
+
+
+def test_line_runs_hold_each_key_once_and_leave_nothing(spark):
+    scratch = Scratch(spark)
+    runs, want = linededup.LineRuns(scratch), {}
+    rng = np.random.default_rng(2)
+    for batch in range(5):
+        rows = sorted({(int(k), 0, int(d)) for k, d in zip(rng.integers(0, 30, 60), rng.integers(0, 9, 60) + 10 * batch, strict=True)})
+        runs.add(spark.createDataFrame(rows, "a long, b long, doc_id long"))
+        for a, _, d in rows:
+            n, top = want.get(a, (0, -1))
+            want[a] = (n + 1, max(top, d))
+        held = [r["a"] for run in runs.runs() for r in run.collect()]
+        assert sorted(held) == sorted(want)
+    assert {r["a"]: (r["n"], r["top"]) for r in runs.totals(3).collect()} == {k: v for k, v in want.items() if v[0] >= 3}
+    runs.close()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_line_dedup_of_rows_that_share_or_lack_ids(spark):
+    long = "a line that is surely longer than forty code points, shared"
+    rows = [(None, long), (None, long), (1, long), (1, long), (2, long), (3, "x")]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, n long, top long")
+    got = sorted(((r["doc_id"] or 0, r["kept"], r["n"], r["top"]) for r in linededup.dedup_lines(df).collect()))
+    assert got == [(0, long, 1, 2), (0, long, 1, 2), (1, "", 1, 2), (1, "", 1, 2), (2, long, 1, 2), (3, "x", 1, 2)]
