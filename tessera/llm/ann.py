@@ -5,8 +5,8 @@ Vectors are rotated by a random orthogonal matrix and laid out in blocks of colu
 distance over the first d of D columns estimates the whole. Candidates whose partial distance is too
 large for the threshold fail a hypothesis test (after Gao and Long 2023) and are abandoned; the rest are
 measured exactly on the original vectors. The threshold starts at the k-th best of a broadcast
-sample, which bounds the k-th of the probed lists from the start. Vectors without structure have their
-neighbours in many lists, so three quarters are probed (measured recall: README). Vectors that are alike are
+sample, which bounds the k-th of the probed lists from the start. How many lists are probed is fitted: the least
+number that holds RECALL of the true neighbours within the sample. Vectors that are alike are
 abandoned together, so a query left with fewer than k scans its lists again without the test.
 """
 
@@ -24,8 +24,10 @@ from tessera.llm.common import Scratch, shared, table
 
 #: The index is fitted on at most so many rows; all rows are indexed.
 SAMPLE = 10_000
-#: Most lists; the share of lists probed, and how many at least.
-LISTS, SHARE, LEAST = 512, 0.75, 8
+#: The share of the sample's true neighbours that the probed lists hold, and how many of its rows are asked to find their number.
+RECALL, ASKED = 0.96, 500
+#: Lists grow with the root of the table; beyond one for so many sampled rows each is split by what is left of a vector after its centre.
+ROWS, SPLIT = 40, 32
 #: Most vectors, and queries, that meet in one task, about.
 VECTORS, QUERIES = 4096, 2048
 #: e of the hypothesis test.
@@ -57,7 +59,18 @@ class Index:
         edges = [1, *range(1 + max(4, dim // 8), dim, max(4, dim // 8)), dim + 1]
         self.blocks = [slice(a, b) for a, b in zip([0, *edges[1:-1]], edges[1:], strict=True)]
         x = self.turn(sample)
-        lists = int(np.clip(np.sqrt(n) / 8, 1, min(LISTS, len(x))))
+        wanted = int(max(np.sqrt(n) / 8, 1))
+        lists = int(np.clip(wanted, 1, max(len(x) // ROWS, 1)))
+        first = self._means(x, lists, rng)
+        if wanted > lists:
+            split = int(np.clip(-(-wanted // lists), 2, SPLIT))
+            rest = self._means(x - first[self.nearest(x)], split, rng)
+            self.centres = (first[:, None] + rest[None]).reshape(-1, x.shape[1])
+        self.sample_lists = self.nearest(x)
+        self.sizes = np.zeros(len(self.centres), np.int64)
+        self.many = self._enough(sample)
+
+    def _means(self, x: np.ndarray, lists: int, rng) -> np.ndarray:
         self.centres = x[rng.choice(len(x), lists, replace=False)]
         for _ in range(8):
             near = self.nearest(x)
@@ -65,8 +78,22 @@ class Index:
             sums = np.zeros_like(self.centres)
             np.add.at(sums, near, x)
             self.centres = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], self.centres)
-        self.sample_lists = self.nearest(x)
-        self.sizes = np.zeros(lists, np.int64)
+        return self.centres
+
+    def _enough(self, sample: np.ndarray) -> int:
+        """How many lists, nearest first, hold RECALL of the k nearest within the sample; a table's nearest are nearer still."""
+        q = sample[:ASKED]
+        product = q @ sample.T
+        product[np.arange(len(q)), np.arange(len(q))] = -np.inf
+        k = min(self.k, len(sample) - 1)
+        if k < 1:
+            return len(self.centres)
+        best = np.argpartition(-product, k - 1, axis=1)[:, :k]
+        order = np.argsort(self.distances(self.turn(q, query=True)), axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], axis=1)
+        needed = np.take_along_axis(rank, self.sample_lists[best], axis=1)
+        return int(np.quantile(needed, RECALL, method="higher")) + 1
 
     def turn(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """With the extra dimension, all rotated: no column holds more of a distance than another on average."""
@@ -79,11 +106,11 @@ class Index:
     def nearest(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([self.distances(x[a : a + 4096]).argmin(1) for a in range(0, len(x), 4096)]) if len(x) else np.empty(0, np.int64)
 
-    def probes(self, q: np.ndarray, share: float, least: int) -> list[np.ndarray]:
-        """Each query's lists, nearest first: the share, and enough to hold k vectors besides itself."""
+    def probes(self, q: np.ndarray, many: int | None) -> list[np.ndarray]:
+        """Each query's lists, nearest first: as many as fitted, or as given, and enough to hold k vectors besides itself."""
         order = np.argsort(self.distances(self.turn(q, query=True)), axis=1, kind="stable")
         held = np.cumsum(self.sizes[order], axis=1)
-        many = max(least, int(np.ceil(share * len(self.centres))))
+        many = self.many if many is None else many
         enough = (held < self.k + 1).sum(1) + 1
         return [o[: max(many, e)] for o, e in zip(order, enough, strict=True)]
 
@@ -154,8 +181,8 @@ def fit(vectors: DataFrame, k: int, sample: int = SAMPLE) -> Index | None:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           share: float = SHARE, scratch: Scratch | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k nearest by inner product among the probed lists.
+           probed: int | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k nearest by inner product among the probed lists (probed: how many, else fitted).
 
     Queries are the rows of is_query; candidates are all rows but the query's own id. Fewer candidates than k: all
     of them. Equal scores go to the smaller id. Vectors that are null, zero, empty, hold a null or
@@ -181,7 +208,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     schema = T.StructType([*rows.schema.fields, T.StructField("list", T.IntegerType())])
     indexed = scratch.keep(rows.mapInArrow(assign, schema), "indexed")
-    for r in indexed.groupBy("list").count().collect():  # a row for each list: LISTS at most
+    for r in indexed.groupBy("list").count().collect():  # a row for each list: SAMPLE / ROWS * SPLIT at most
         index.sizes[r[0]] = r[1]
     whole = shared(spark, index)
 
@@ -190,7 +217,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
             for a in range(0, b.num_rows, 256):
                 part = b.slice(a, 256)
                 ids, q = part.column(0).to_numpy(), _matrix(part.column(1))
-                lists = whole().probes(q, share, LEAST)
+                lists = whole().probes(q, probed)
                 bounds = whole().thresholds(ids, q, lists)
                 at = np.repeat(np.arange(len(ids)), [len(x) for x in lists])
                 chosen = part.select(["id", "vec"]).take(pa.array(at))
@@ -222,7 +249,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     def scanned(probes: DataFrame) -> DataFrame:
         asked = {r[0]: r[1] for r in probes.groupBy("list").count().collect()}
-        # How many blocks of vectors and of queries a list has, LISTS rows at most: every two of them meet.
+        # How many blocks of vectors and of queries a list has, a row for each list: every two of them meet.
         plan = [(i, int(-(-index.sizes[i] // VECTORS)), -(-asked[i] // QUERIES)) for i in sorted(asked) if index.sizes[i]]
         plan = F.broadcast(spark.createDataFrame(plan, "list int, vs int, qs int"))
         left = indexed.join(plan, "list").select("list", deal("vs").alias("v"), across("qs").alias("q"), "id", "vec")

@@ -16,17 +16,22 @@ from tessera.llm.common import fold
 FOLDS = 5
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, rest: float | None = None) -> DataFrame:
+#: Longer texts are scored but not learned from, so that the sample is bounded in bytes too.
+LONGEST = 1 << 17
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """(text, y) of at most `most` labelled documents outside fold 0, those with the least hash of their id.
 
     Only these rows' labels are ever read for learning. Null labels and ids take no part; of
-    several labels for one id the largest counts.
+    several labels for one id the largest counts, of several texts the least. Texts of more than LONGEST bytes are left out.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != 0))
     ids = known.groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # At most `most` rows of two numbers: the broadcast's size is bounded by that parameter.
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("text", "y")
+    texts = docs.select("doc_id", "text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
+    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y")).select("text", "y")
 
 
 def scored(docs: DataFrame, score: Callable[[list[str | None]], np.ndarray], threshold: float) -> DataFrame:

@@ -276,7 +276,7 @@ def test_neighbours_that_are_abandoned_together_are_scanned_again(spark, monkeyp
     # A test that abandons nearly all candidates stands for copies whose partial sums exceed it together.
     limit = ann.Index.limit
     monkeypatch.setattr(ann.Index, "limit", lambda self, bound, done: np.where(np.isinf(bound), bound, limit(self, bound, done) * 0.01))
-    got = ann.search(df, F.col("vec_id") % 20 == 0, share=1.0).collect()
+    got = ann.search(df, F.col("vec_id") % 20 == 0, probed=1000).collect()
     x = {i: np.float32(v).astype(float) for i, v in rows}
     for q in (i for i in x if i % 20 == 0):
         want = sorted((i for i in x if i != q), key=lambda i: (-(x[i] @ x[q]), i))[:20]
@@ -380,3 +380,21 @@ def test_line_dedup_of_rows_that_share_or_lack_ids(spark):
     df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, n long, top long")
     got = sorted(((r["doc_id"] or 0, r["kept"], r["n"], r["top"]) for r in linededup.dedup_lines(df).collect()))
     assert got == [(0, long, 1, 2), (0, long, 1, 2), (1, "", 1, 2), (1, "", 1, 2), (2, long, 1, 2), (3, "x", 1, 2)]
+
+
+def test_probing_a_part_of_the_lists_keeps_the_recall(spark):
+    """Many lists of which a part is probed, with structure and without."""
+    for rows, groups in ((4000, 0), (12_000, 40)):
+        rng = np.random.default_rng(rows)
+        x = rng.standard_normal((rows, 16)) + (4 * rng.standard_normal((groups, 16))[rng.integers(0, groups, rows)] if groups else 0)
+        x = x.astype(np.float32).astype(float)
+        index = ann.Index(np.arange(rows)[:2000], x[:2000], float(np.sqrt((x * x).sum(1).max())), 40_000 if groups else 10_000_000, 20)
+        assert len(index.centres) > (20 if groups else 300) and index.many < len(index.centres)
+        lists = index.nearest(index.turn(x))
+        index.sizes = np.bincount(lists, minlength=len(index.centres))
+        asks = np.arange(0, rows, 50)
+        product = x[asks] @ x.T
+        product[np.arange(len(asks)), asks] = -np.inf
+        best = np.argsort(-product, axis=1)[:, :20]
+        held = [np.isin(lists[b], p).mean() for b, p in zip(best, index.probes(x[asks], None), strict=True)]
+        assert np.mean(held) >= 0.94
