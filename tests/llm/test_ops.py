@@ -162,6 +162,49 @@ def test_decontamination(spark):
     assert decontaminate.contamination(docs(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_decontamination_against_brute_force():
+    """Every window of every text against every item: all pairs at 0.8 or more are found, and no other."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [(i, " ".join(rng.choice(vocabulary, int(rng.choice([3, 16, 30, 45, 59]))))) for i in range(40)]
+    texts = []
+    for i in range(300):
+        own = items[int(rng.integers(0, 40))][1].split()
+        for _ in range(int(rng.integers(0, 3))):
+            k = int(rng.integers(0, len(own)))
+            own[k : k + 1] = [[], ["x"], [own[k], "y"]][int(rng.integers(0, 3))]
+        texts.append(" ".join([*rng.choice(vocabulary, int(rng.integers(0, 30))), *own, *rng.choice(vocabulary, int(rng.integers(0, 30)))]))
+    texts += [items[9][1] * 3, "", None, " ".join(items[11][1].split()[:-1])]
+    index = decontaminate.Items(items)
+    grams = lambda w, n: Counter(tuple(w[k : k + n]) for k in range(max(len(w) - n + 1, 1)))
+    got, want, close = set(), set(), 0
+    for i, t in enumerate(texts):
+        got |= {(i, m[0], round(m[3], 9)) for m in index.matches(t)}
+        own = words(t)
+        for j, item in items:
+            w = words(item)
+            width, best = min(5, len(w)), 0.0
+            bag = grams(w, width)
+            for k in range(max(len(own) - len(w) + 1, 1) if own else 0):
+                other = grams(own[k : k + len(w)], width)
+                both = sum((bag & other).values())
+                best = max(best, both / (bag.total() + other.total() - both))
+            if best >= 0.8:
+                want.add((i, j, round(best, 9)))
+                close += best < 0.9
+    assert close > 30 and got == want
+
+
+def test_decontamination_of_odd_rows(spark):
+    bench = spark.createDataFrame([(1, SPEECH), (1, SPEECH), (None, SPEECH + " and more of it")], "item_id long, text string")
+    rows = [(None, SPEECH, 1), (None, SPEECH, 1), (5, f"{SPEECH} " * 20_000, 1), (6, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, item_id long")
+    got = sorted((r["doc_id"] or 0, r["item_id"] or 0) for r in decontaminate.contamination(df, bench).collect())
+    assert got == [(0, 1)] * 4 + [(5, 1)] * 2
+    assert [r["doc_id"] for r in decontaminate.decontaminate(df, bench).collect()] == [6]
+    assert decontaminate.contamination(df.limit(0), bench).count() == 0 and decontaminate.decontaminate(df, bench.limit(0)).count() == 4
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(v) for v in rng.standard_normal(16)], "x") for i in range(400)]
