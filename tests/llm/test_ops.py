@@ -168,7 +168,7 @@ def test_decontamination_against_brute_force():
     vocabulary = [f"w{k}" for k in range(400)]
     items = [(i, " ".join(rng.choice(vocabulary, int(rng.choice([3, 16, 30, 45, 59]))))) for i in range(40)]
     texts = []
-    for i in range(300):
+    for i in range(500):
         own = items[int(rng.integers(0, 40))][1].split()
         for _ in range(int(rng.integers(0, 3))):
             k = int(rng.integers(0, len(own)))
