@@ -63,6 +63,10 @@ def _shingles(tokens: list[bytes], width: int) -> np.ndarray:
     return shingle_hashes(tokens, width).view(">u8").ravel().astype(np.uint64)
 
 
+def _by_id(row: tuple) -> tuple:
+    return (row[0] is not None, *row)
+
+
 class Items:
     """An index of benchmark items."""
 
@@ -141,7 +145,7 @@ class Items:
                 if item not in best or (-score, start) < (-best[item][2], best[item][0]):
                     best[item] = (start, n, score)
             if best:
-                yield i, sorted((self.items[item], *rest) for item, rest in best.items())
+                yield i, sorted(((self.items[item], *rest) for item, rest in best.items()), key=_by_id)
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, float]]:
         return next((m for _, m in self.scan(pa.array([text], pa.string()))), [])
@@ -190,7 +194,7 @@ def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, block_bytes: i
     blocks = -(-total // block_bytes) or 1
     for k in range(blocks):
         part = rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        yield shared(benchmark.sparkSession, Items(sorted(tuple(r) for r in part.collect()), similarity))
+        yield shared(benchmark.sparkSession, Items(sorted((tuple(r) for r in part.collect()), key=_by_id), similarity))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
