@@ -99,13 +99,13 @@ def shared(spark: SparkSession, value, build: Callable | None = None):
 
     Workers keep a broadcast's list over tasks, so what is made goes in there. Callers state the bound of value's size.
     """
-    raw = spark.sparkContext.broadcast([cloudpickle.dumps((value, build))])
+    raw = spark.sparkContext.broadcast([cloudpickle.dumps((value, build)), False])
 
     def get():
         held = raw.value
-        if len(held) == 1:
+        if not held[1]:
             own, make = cloudpickle.loads(held[0])
-            held.append(make(own) if make else own)
-        return held[1]
+            held[:] = [make(own) if make else own, True]  # the bytes go
+        return held[0]
 
     return get

@@ -36,8 +36,8 @@ DISCOUNT = 0.5
 RARE = 1e-6
 BITS, SLOTS = 1 << 27, 64
 #: About how many tokens' n-grams one shard holds, and how many n-grams a task gathers before it sends them.
-SHARD, GATHERED = 1 << 21, 1_500_000
-SLICE_BYTES = 1 << 20
+SHARD, GATHERED = 1 << 20, 1 << 20
+SLICE_BYTES = 1 << 19
 #: The end of a text, and what stands before its first word, as a hash.
 END = 0x2545F4914F6CDD1D
 FOLDS, HELD_OUT = 7, 2
@@ -486,7 +486,7 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
                          sizes + 1, np.bincount(whose[here], minlength=docs_), log, score))
             marks += docs_
             size += len(asks) + int((~here).sum()) + 8 * docs_
-            if size > GATHERED // 2:
+            if size > GATHERED // 4:
                 yield from out()
                 held, marks, size = [], 0, 0
         if held:
