@@ -411,9 +411,10 @@ class _Frequent:
         self.full = self.log + w  # with the word's weight as a context; END stands once on either side of a text
 
 
-#: Contexts and successors asked, by which document; documents' marks; what is known of them already; words asked, by whom.
-_ASKED = (np.int64, np.int32, np.uint32, np.uint8, np.int32, np.int64, np.int64, np.int64, np.int64, np.float64, np.float64, np.int64, np.int32)
-_ANSWER = (("hi", np.int64), ("lo", np.int64), ("origin", np.int32), ("n", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64))
+#: The first document of the task in a blob; pairs asked, by which document after it; pairs asked with a successor, likewise;
+#: words, likewise; documents' marks and what is known of them.
+_ASKED = (np.int64, np.int64, np.uint16, np.int64, np.uint16, np.uint32, np.int64, np.uint16, np.int32, np.int64, np.int64, np.int64, np.int64, np.float64, np.float64)
+_ANSWER = (("origin", np.int32), ("doc", np.int32), ("hi", np.int64), ("lo", np.int64), ("n", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64))
 
 
 def text_scores(marked: DataFrame, model: Model) -> DataFrame:
@@ -426,25 +427,24 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
 
         own, powers = get(), []
         origin, seen = TaskContext.get().partitionId(), set()
-        held, marks, size = [], 0, 0
+        held, docs_done, size = [], 0, 0
 
         def row(shard: int, arrays: tuple) -> pa.RecordBatch:
             data = _pack(*(np.asarray(a, k) for a, k in zip(arrays, _ASKED, strict=True)))
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([origin], pa.int32()), pa.array([data], pa.binary())], names=["shard", "origin", "data"])
 
         def out() -> Iterator[pa.RecordBatch]:
-            x, kid, route, who, word, word_who, hi, lo, n, known, base, score = (np.concatenate(c) for c in zip(*held, strict=True))
-            none = ()
-            yield row(origin % parts, (none, none, none, none, none, hi, lo, n, known, base, score, none, none))
-            grams, of_words = (dict(_dealt(_part(r, parts), k, parts)) for r, k in ((route, x), (word, word)))
-            nobody = np.empty(0, np.int64)
-            for shard in sorted(grams.keys() | of_words.keys()):
-                g, t = grams.get(shard, nobody), of_words.get(shard, nobody)
-                distinct, many = _runs(x[g]) if len(g) else (none, none)
-                docs_, at = np.unique(np.concatenate((who[g], word_who[t])), return_inverse=True)
-                yield row(shard, (distinct, many, kid[g] & 0xFFFFFFFF, kid[g] >> 32, at[: len(g)], hi[docs_], lo[docs_], none, none, none, none, word[t], at[len(g) :]))
-
-        for batch in _slices(batches, 0):
+            x, kid, route, who, word, whose, *known = (np.concatenate(c) for c in zip(*held, strict=True))
+            none, low = (), int(known[0][0])
+            yield row(origin % parts, (*[none] * 8, *known))
+            plain, kin = np.flatnonzero(kid == 0), np.flatnonzero(kid)
+            asked = [dict(_dealt(_part(r, parts), k, parts)) for r, k in ((route[plain], x[plain]), (route[kin], x[kin]), (word, word))]
+            for shard in sorted(asked[0].keys() | asked[1].keys() | asked[2].keys()):
+                p, q, t = (own.get(shard, np.empty(0, np.int64)) for own in asked)
+                p, q = plain[p], kin[q]
+                yield row(shard, ([low], x[p], who[p] - low, x[q], who[q] - low, kid[q], word[t], whose[t] - low, *[none] * 7))
+
+        for batch in (b.slice(k, 256) for b in _slices(batches, 0) for k in range(0, b.num_rows, 256)):
             hi, lo = (batch.column(k).to_numpy() for k in (1, 2))
             fresh = []
             for i, mark in enumerate(zip(hi.tolist(), lo.tolist(), strict=True)):
@@ -482,13 +482,13 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
             kid[both] = short_key(keys[both + 1])
             route[both] = np.where(often[both], third, keys[both])
             asks = np.flatnonzero(rest | (kid > 0))
-            held.append((keys[asks], kid[asks], route[asks], owner[asks] + marks, token[~here], whose[~here] + marks, hi[fresh], lo[fresh],
-                         sizes + 1, np.bincount(whose[here], minlength=docs_), log, score))
-            marks += docs_
+            held.append((keys[asks], kid[asks], route[asks], owner[asks] + docs_done, token[~here], whose[~here] + docs_done,
+                         np.arange(docs_) + docs_done, hi[fresh], lo[fresh], sizes + 1, np.bincount(whose[here], minlength=docs_), log, score))
+            docs_done += docs_
             size += len(asks) + int((~here).sum()) + 8 * docs_
-            if size > GATHERED // 4:
+            if size > GATHERED // 4 or len(held) >= 128:
                 yield from out()
-                held, marks, size = [], 0, 0
+                held, size = [], 0
         if held:
             yield from out()
 
@@ -500,27 +500,29 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
             trie, words, n, w = None, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
         found = []
         for origin, data in zip(rows.column("origin").to_pylist(), rows.column("data"), strict=True):
-            x, many, low, high, who, hi, lo, size, known, base, score, word, whose = _unpack(data.as_buffer(), _ASKED)
-            docs_ = len(hi)
-            if not len(size):
+            first, x, who, y, whom, kids, word, whose, *known = _unpack(data.as_buffer(), _ASKED)
+            if not len(known[0]):
+                docs_, at = np.unique(np.concatenate((who, whom, whose)), return_inverse=True)
+                n_docs, asks, whose = len(docs_), at[: len(who) + len(whom)], at[len(who) + len(whom) :]
+                docs_ = docs_ + first[0]
                 at, here = _place(words, word)
-                times = np.where(here, n[at] if len(n) else 0, 0)
-                size, known = np.zeros(docs_, np.int64), np.bincount(whose[here], minlength=docs_)
-                base = np.bincount(whose, np.log10((times + 1) / norm), docs_)
-                score = base + np.bincount(whose[here], w[at[here]], docs_)
-                if trie is not None and len(who):
-                    kids = low.astype(np.int64) | (high.astype(np.int64) << 32)
-                    score = score + np.bincount(who, trie.values(np.repeat(x, many), kids), docs_)
-            found.append((hi, lo, np.full(docs_, origin), size, known, base, score))
+                base = np.bincount(whose, np.log10((np.where(here, n[at] if len(n) else 0, 0) + 1) / norm), n_docs)
+                score = base + np.bincount(whose[here], w[at[here]], n_docs)
+                if trie is not None and len(asks):
+                    values = trie.values(np.concatenate((x, y)), np.concatenate((np.zeros(len(x), np.int64), kids.astype(np.int64))))
+                    score = score + np.bincount(asks, values, n_docs)
+                zero = np.zeros(n_docs, np.int64)  # the mark and the size come from the task itself
+                known = (docs_, zero, zero, zero, np.bincount(whose[here], minlength=n_docs), base, score)
+            found.append((np.full(len(known[0]), origin), *known))
         cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [()] * len(_ANSWER)
         return pa.table({name: np.asarray(c, kind) for (name, kind), c in zip(_ANSWER, cols, strict=True)})
 
     asked = marked.select("text", "hi", "lo").mapInArrow(ask, "shard int, origin int, data binary")
-    schema = "hi long, lo long, origin int, n long, known long, base double, score double"
+    schema = "origin int, doc int, hi long, lo long, n long, known long, base double, score double"
     found = model.shards.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, schema)
-    # Equal rows in several tasks have asked each for themselves.
     sums = ("n", "known", "base", "score")
-    found = found.groupBy("hi", "lo", "origin").agg(*[F.sum(c).alias(c) for c in sums])
+    found = found.groupBy("origin", "doc").agg(*[F.sum(c).alias(c) for c in ("hi", "lo", *sums)])
+    # Equal rows in several tasks have asked each for themselves.
     return found.groupBy("hi", "lo").agg(*[F.max(c).alias(c) for c in sums])
 
 

@@ -15,7 +15,7 @@ import numpy as np
 
 _U = np.uint64
 #: Bits of a successor's short key.
-SHORT = 40
+SHORT = 32
 
 
 def short_key(keys: np.ndarray) -> np.ndarray:
