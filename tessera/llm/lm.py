@@ -248,8 +248,9 @@ def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
 
 
 def _free(spark) -> None:
-    """Shuffles of written tables go from the disks once nothing refers to them."""
+    """Shuffles of written tables go from the disks once nothing refers to them; the scheduler lets go of a job at the next one."""
     gc.collect()
+    spark.range(1).count()
     spark._jvm.System.gc()
 
 
