@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +84,20 @@ class Scratch:
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m"):
+    """Whole texts go to Python in smaller batches than the session's while a table is written in here."""
+    own = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def joined_by_share(df: DataFrame, on: str | list[str], often: DataFrame, rest: DataFrame) -> DataFrame:
     """df joined with the rows of often, which are broadcast, and for what they lack with those of rest: no key of the shuffle is hot.
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, fold, joined_by_share, shared, shuffle_partitions, table
+from tessera.llm.common import Scratch, fold, joined_by_share, shared, shuffle_partitions, small_batches, table
 from tessera.llm.lookup import Map, mix, slices, word_hashes
 from tessera.llm.triefile import Trie, short_key
 
@@ -399,7 +399,7 @@ def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
     got = [_unpack(r[0], (np.int64, np.float64)) for r in shards.select("heavy").collect()]  # at most 1 / rare triples
     heavy = [np.concatenate([g[k] for g in got]) if got else np.empty(0, k and float or np.int64) for k in (0, 1)]
     frequent = (*often_words, hot[0], hot[3].astype(np.float64) + back, *heavy)
-    return Model(shards.select("shard", "words", "levels"), parts, tokens, norm, frequent, (bits2, bits3))
+    return Model(shards, parts, tokens, norm, frequent, (bits2, bits3))
 
 
 class _Frequent:
@@ -499,28 +499,32 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
             words, n, w = _unpack(shards.column("words")[0].as_buffer(), (np.int64, np.int64, np.float32))
         else:
             trie, words, n, w = None, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
-        found = []
+        asked, found = [], []
         for origin, data in zip(rows.column("origin").to_pylist(), rows.column("data"), strict=True):
             first, x, who, y, whom, kids, word, whose, *known = _unpack(data.as_buffer(), _ASKED)
-            if not len(known[0]):
-                docs_, at = np.unique(np.concatenate((who, whom, whose)), return_inverse=True)
-                n_docs, asks, whose = len(docs_), at[: len(who) + len(whom)], at[len(who) + len(whom) :]
-                docs_ = docs_ + first[0]
-                at, here = _place(words, word)
-                base = np.bincount(whose, np.log10((np.where(here, n[at] if len(n) else 0, 0) + 1) / norm), n_docs)
-                score = base + np.bincount(whose[here], w[at[here]], n_docs)
-                if trie is not None and len(asks):
-                    values = trie.values(np.concatenate((x, y)), np.concatenate((np.zeros(len(x), np.int64), kids.astype(np.int64))))
-                    score = score + np.bincount(asks, values, n_docs)
-                zero = np.zeros(n_docs, np.int64)  # the mark and the size come from the task itself
-                known = (docs_, zero, zero, zero, np.bincount(whose[here], minlength=n_docs), base, score)
-            found.append((np.full(len(known[0]), origin), *known))
+            if len(known[0]):
+                found.append((np.full(len(known[0]), origin), *known))
+            else:
+                low = (origin << 32) + int(first[0])
+                asked.append((x, who + np.int64(low), y, whom + np.int64(low), kids, word, whose + np.int64(low)))
+        if asked:
+            x, who, y, whom, kids, word, whose = (np.concatenate(c) for c in zip(*asked, strict=True))
+            docs_, at = np.unique(np.concatenate((who, whom, whose)), return_inverse=True)
+            n_docs, asks, whose = len(docs_), at[: len(who) + len(whom)], at[len(who) + len(whom) :]
+            at, here = _place(words, word)
+            base = np.bincount(whose, np.log10((np.where(here, n[at] if len(n) else 0, 0) + 1) / norm), n_docs)
+            score = base + np.bincount(whose[here], w[at[here]], n_docs)
+            if trie is not None and len(asks):
+                values = trie.values(np.concatenate((x, y)), np.concatenate((np.zeros(len(x), np.int64), kids.astype(np.int64))))
+                score = score + np.bincount(asks, values, n_docs)
+            zero = np.zeros(n_docs, np.int64)  # the mark and the size come from the task itself
+            found.append((docs_ >> 32, docs_ & 0xFFFFFFFF, zero, zero, zero, np.bincount(whose[here], minlength=n_docs), base, score))
         cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [()] * len(_ANSWER)
         return pa.table({name: np.asarray(c, kind) for (name, kind), c in zip(_ANSWER, cols, strict=True)})
 
     asked = marked.select("text", "hi", "lo").mapInArrow(ask, "shard int, origin int, data binary")
     schema = "origin int, doc int, hi long, lo long, n long, known long, base double, score double"
-    found = model.shards.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, schema)
+    found = model.shards.drop("heavy").groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, schema)
     sums = ("n", "known", "base", "score")
     found = found.groupBy("origin", "doc").agg(*[F.sum(c).alias(c) for c in ("hi", "lo", *sums)])
     # Equal rows in several tasks have asked each for themselves.
@@ -536,9 +540,12 @@ def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RAR
     """
     scratch = scratch or Scratch(docs.sparkSession)
     held = fold(F.col("doc_id"), FOLDS) == HELD_OUT
-    model = train(docs.filter(~held).select("text"), scratch, rare)
     marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hi"), F.xxhash64(F.lit(1), "text", "doc_id").alias("lo"))
-    out = marked.drop("text").join(text_scores(marked, model), ["hi", "lo"], "left")
+    with small_batches(docs.sparkSession):
+        model = train(docs.filter(~held).select("text"), scratch, rare)
+        scores = scratch.keep(text_scores(marked, model), "scores")
+        scratch.drop(model.shards)
+    out = marked.drop("text").join(scores, ["hi", "lo"], "left")
     return out.select(
         "doc_id", held.alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
