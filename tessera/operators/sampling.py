@@ -17,8 +17,19 @@ def stratified_order(df: DataFrame, strata: list[str], key: Column) -> DataFrame
 
 
 def draw(df: DataFrame, strata: list[str], key: Column, size: int) -> DataFrame:
-    """The first size rows of the stratified order."""
-    return stratified_order(df, strata, key).orderBy("position", "order_key").limit(size)
+    """The first size rows of the stratified order. A stratum gives at most size rows, cut before the shuffle; sizes are counted apart."""
+    sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
+    own = df.withColumn("order_key", key)
+    own = own.withColumn("_place", F.row_number().over(Window.partitionBy(*strata).orderBy("order_key"))).filter(F.col("_place") <= size).alias("x")
+    same = [F.equal_null(F.col(f"x.{s}"), F.col(f"y.{s}")) for s in strata]
+    own = own.join(sizes.alias("y"), same).select("x.*", ((F.col("x._place") - 0.5) / F.col("y._n")).alias("position"))
+    return own.drop("_place").orderBy("position", "order_key").limit(size)
+
+
+def inspected(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """df with inspected: whether its key is among seen's; a null key never is."""
+    known = seen.select(key).distinct().withColumn("inspected", F.lit(True))
+    return df.join(known, key, "left").withColumn("inspected", F.coalesce("inspected", F.lit(False)))
 
 
 def quota(df: DataFrame, strata: list[str], seed: str, id_col: str, size: int) -> DataFrame:

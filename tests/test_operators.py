@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import metrics, text
-from tessera.operators import dedup, gates, ledger, stats
+from tessera.operators import dedup, gates, ledger, sampling, stats
 
 
 def one(spark, column, **values):
@@ -14,7 +15,8 @@ def test_text(spark):
     assert one(spark, text.evidence_text(F.col("a")), a=None) is None
     assert one(spark, text.slug(F.col("a")), a="  A_b C!") == "a-b-c"
     assert one(spark, text.dataset_key(F.col("a")), a="The Dataset (v2)") == "the"
-    assert one(spark, text.dataset_key(F.col("a")), a="test set") is None
+    assert one(spark, text.dataset_key(F.col("a")), a="test set") == "test set"
+    assert one(spark, text.dataset_key(F.col("a")), a="data set") is None
     assert one(spark, text.tokens(F.col("a")), a="a; ;b") == ["a", "b"]
     assert one(spark, text.literal_present(F.col("a"), F.lit("7.5")), a="is 7.5 now")
     assert not one(spark, text.literal_present(F.col("a"), F.lit("7.5")), a="is 17.5 now")
@@ -26,7 +28,7 @@ def test_text(spark):
 def test_units(spark):
     assert one(spark, metrics.unit(F.col("a")), a=" % ") == "percent"
     assert one(spark, metrics.unit(F.col("a")), a="ms") == "ms"
-    assert one(spark, metrics.unit(F.col("a")), a="") is None
+    assert one(spark, metrics.unit(F.col("a")), a="") == "" and one(spark, metrics.unit(F.col("a")), a=None) is None
 
 
 def test_gate_keeps_null_apart(spark):
@@ -45,7 +47,15 @@ def test_merge_and_ambiguity(spark):
     df = spark.createDataFrame([(2, "a", "x", 0.5), (1, "a", "y", 0.9), (3, "b", "x", 0.1)], "id long, k string, v string, confidence double")
     got = {r["k"]: r for r in dedup.merge_duplicates(df, ["k"], "id").collect()}
     assert (got["a"]["v"], got["a"]["merged"], got["a"]["confidence"]) == ("y", 2, 0.9)
-    assert {r["id"]: r["ambiguous"] for r in dedup.ambiguous(df, ["k"], F.col("v")).collect()} == {1: True, 2: True, 3: False}
+
+
+def test_ambiguity_needs_incompatible_names_and_overlapping_quotes(spark):
+    rows = [(1, "p", "9.1", "BERT", "GLUE", "row a", True), (2, "p", "9.1", "BERT base", "GLUE", "row a b", True), (3, "p", "9.1", "GPT", "GLUE", "row a", True), (4, "p", "9.1", "XLM", "GLUE", "other", True), (5, "p", "9.1", "T5", "GLUE", "row a", False), (6, "q", "9.1", "T5", "GLUE", "row a", True), (7, "p", None, "T5", "GLUE", "row a", True), (8, "p", "8", None, "GLUE", None, True), (9, "p", "8", "T5", "GLUE", None, True)]
+    df = spark.createDataFrame(rows, "id long, paper string, raw string, system string, dataset string, quote string, main boolean")
+    out = dedup.ambiguous(df, ["paper"], F.col("raw"), ["system", "dataset"], "quote", F.col("main"))
+    assert {r["id"] for r in out.collect() if r["ambiguous"]} == {1, 2, 3} and out.count() == 9
+    out = dedup.demote_ambiguous(out.withColumn("referential_status", F.lit("resolved")).withColumn("export_status", F.lit("eligible")).withColumn("export_reason", F.lit("ok")))
+    assert {r["id"] for r in out.collect() if r["export_status"] == "needs_review"} == {1, 2, 3}
 
 
 def test_ledger(spark):
@@ -53,6 +63,53 @@ def test_ledger(spark):
     assert [r["admitted"] for r in ledger.admitted(df, "u", "i", F.col("c"), 10).orderBy("i").collect()] == [True, False, True]
 
 
+def test_ledger_goes_on_after_a_refusal(spark):
+    df = spark.createDataFrame([(1, "u", 5), (2, "u", 6), (3, "u", 5), (4, "u", None), (5, "u", -3), (6, "u", 3), (1, None, 1)], "i long, u string, c long")
+    got = ledger.admitted(df, "u", "i", F.col("c"), 10).filter("u IS NOT NULL").orderBy("i").collect()
+    assert [(r["committed"], r["admitted"]) for r in got] == [(5, True), (5, False), (10, True), (10, False), (7, True), (10, True)]
+    assert ledger.admitted(df.limit(0), "u", "i", F.col("c"), 10).count() == 0
+
+
+def test_kappa_of_text_classes_and_nulls(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", "b"), ("c", "a"), ("c", "c"), (None, "a")], "x string, y string")
+    r = stats.cohen_kappa(df, "x", "y").first()
+    assert (r["n"], r["observed"], r["expected"], r["kappa"]) == (4, 0.75, 0.3125, 0.636364)
+    assert stats.cohen_kappa(df.limit(0), "x", "y").first()["kappa"] is None
+    assert stats.cohen_kappa(df.filter("x = 'a'"), "x", "y").first()["kappa"] is None
+
+
+def test_unknown_names_raise(spark):
+    with pytest.raises(ValueError):
+        gates.policy_permits(F.lit("none"), "positve_only")
+    with pytest.raises(ValueError):
+        gates.replay_scope(spark.range(1), "some")
+    with pytest.raises(ValueError):
+        stats.clopper_pearson(1, 0)
+
+
+def test_replay_scope_and_safety_routing(spark):
+    df = spark.createDataFrame([("primary_result", "supported", "BERT", "bert"), ("primary_result", "unsupported", "a", "b"), ("setting", "supported", "a", "b")], "claim_type string, text_support string, s string, d string")
+    assert [gates.replay_scope(df, x).count() for x in ("all", "primary", "export_gate")] == [3, 2, 1]
+    n = F.lit(None).cast("string")
+    own = df.withColumn("referential_status", F.lit("resolved")).withColumn("export_status", F.lit("eligible")).withColumn("export_reason", F.lit("ok"))
+    out = gates.route_safety(own, gates.safety_issues(F.col("s"), F.col("d"), n, n, n, n, F.lit(1))).collect()
+    assert [r["referential_status"] for r in out] == ["wrong_scope", "resolved", "resolved"] and out[0]["export_reason"].startswith("semantic safety check: evaluated")
+
+
+def test_draw_cuts_strata_and_keeps_null_ones(spark):
+    df = spark.createDataFrame([(i, "a" if i % 2 else None) for i in range(40)], "id long, s string")
+    key = text.hash_key("1", F.col("id"))
+    got = [r["id"] for r in sampling.draw(df, ["s"], key, 7).orderBy("position", "order_key").collect()]
+    want = [r["id"] for r in sampling.stratified_order(df, ["s"], key).orderBy("position", "order_key").limit(7).collect()]
+    assert got == want
+
+
+def test_quantiles_of_ties_and_nulls(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 3.0), ("a", None), ("b", None)], "g string, v double")
+    got = stats.quantiles(df, "g", "v", {"p50": 0.5, "p75": 0.75}).collect()
+    assert [(r["g"], r["n"], r["least"], r["most"], r["p50"], r["p75"]) for r in got] == [("a", 3, 1.0, 3.0, 1.0, 2.0)]
+
+
 def test_clopper_pearson():
     low, high = stats.clopper_pearson(8, 10)
     assert abs(low - 0.443905) < 1e-5 and abs(high - 0.974789) < 1e-5
