@@ -16,13 +16,17 @@ def semantic_key(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("~")) for p in parts]), 256)
 
 
-def merge_duplicates(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row for each key: the first by order, the number merged, the largest confidence; sums in the map side first."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("first")
-    out = df.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("merged"), F.max("confidence").alias("best"))
+def merge_duplicates(df: DataFrame, keys: list[str], order: str, united: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each key: the first by order, the number merged, the largest confidence, and the sorted unions of the array columns named.
+
+    Rows with a null key merge with each other. Of rows that tie in order the least stands, so the result is one and the same.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in united]
+    first = F.min(F.struct(F.col(order).alias("_order"), *rest)).alias("first")
+    unions = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in united]
+    out = df.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("merged"), F.max("confidence").alias("best"), *unions)
     kept = [F.col(f"first.{c}").alias(c) for c in rest if c != "confidence"]
-    return out.select(*keys, *kept, "merged", F.col("best").alias("confidence"))
+    return out.select(*keys, *kept, *united, "merged", F.col("best").alias("confidence"))
 
 
 def ambiguous(df: DataFrame, place: list[str], value: Column, names: list[str], quote: str, primary: Column) -> DataFrame:

@@ -31,9 +31,9 @@ def precision_recall(df: DataFrame, truth: str, guess: str) -> DataFrame:
 
 
 def class_summary(df: DataFrame, truth: str, guess: str) -> DataFrame:
-    """One row: n, accuracy, macro_f1 over the classes of truth or guess; rows with a null on either side take no part."""
+    """One row: n, accuracy, macro_f1 over the classes that truth has; rows with a null on either side take no part."""
     both = df.filter(F.col(truth).isNotNull() & F.col(guess).isNotNull())
-    macro = precision_recall(both, truth, guess).agg(F.round(F.avg(F.coalesce("f1", F.lit(0.0))), 6).alias("macro_f1"))
+    macro = precision_recall(both, truth, guess).filter("tp + fn > 0").agg(F.round(F.avg(F.coalesce("f1", F.lit(0.0))), 6).alias("macro_f1"))
     return both.agg(F.count(F.lit(1)).alias("n"), ratio(F.sum((F.col(truth) == F.col(guess)).cast("int")), F.count(F.lit(1))).alias("accuracy")).join(F.broadcast(macro))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import metrics, text
-from tessera.operators import attribution, binding, dedup, gates, ledger
+from tessera.operators import attribution, binding, dedup, gates, ledger, review
 from tessera.sources.tables import table
 
 QUERIES: dict = {}
@@ -226,6 +226,48 @@ def _register() -> None:
         {"retry": lambda: gates.sparse_block(_c("b"), _c("r"), _c("c"))},
         [(True,), (False,), (False,), (False,)],
     )
+    earned = lambda: review.reviewed_basis(*map(_c, ("d", "p", "oq", "st", "ru", "cu", "ba")))
+    case(
+        "q_reviewed_basis", "d string, p string, oq string, st string, ru string, cu array<string>, ba string",
+        [("accept", "accept", "q", "no_signal", "no_cue", [], "no_external_cue"), ("accept", "accept", "q", "unresolved", "weak_cue_recorded", ["citation_bracket"], "none"), ("accept", "accept", "q", "no_signal", "own_row", ["self_reference", "rank_column"], "no_external_cue"),
+         ("accept", "accept", "q", "externally_sourced", "row_scoped_foreign_cue", [], "none"), ("accept", "accept", "q", "no_signal", "other", [], "none"), ("accept_tuple_only", "accept_tuple_only", None, "no_signal", "no_cue", [], "no_external_cue"),
+         ("accept_tuple_only", "accept", None, "no_signal", "no_cue", [], "no_external_cue"), ("accept_tuple_only", "accept_tuple_only", "q", "unresolved", "weak_cue_recorded", ["a", "a", "b"], "none")],
+        {"basis": lambda: earned()[0], "reason": lambda: earned()[1]},
+        [("reviewed_quote", None), ("none", "cue_overrides_review:unresolved:citation_bracket"), ("reviewed_quote", None), ("none", "cue_overrides_review:externally_sourced:row_scoped_foreign_cue"), ("none", "no_origin_basis:no_signal:other"),
+         ("none", "reviewer_withheld_origin"), ("no_external_cue", None), ("none", "no_origin_basis:unresolved:weak_cue_recorded:a;b")],
+    )
+    case(
+        "q_promotion", "d string, gh string, ph string, el boolean, id string, wh boolean, bl string, ba string, re string, fl boolean",
+        [("accept", "h", "h", False, "acc", True, None, "reviewed_quote", None, False), ("reject", "h", "h", False, "acc", True, None, "none", None, False), ("accept", "h", "g", False, "acc", True, None, "reviewed_quote", None, False), ("accept", "h", "h", True, "acc", True, None, "reviewed_quote", None, False),
+         ("accept", "h", "h", None, "", True, None, "reviewed_quote", None, False), ("accept", "h", "h", False, "acc", None, None, "reviewed_quote", None, False), ("accept", "h", "h", False, "acc", True, "signed_difference_value", "reviewed_quote", None, False),
+         ("accept", "h", "h", False, "acc", True, None, "reviewed_quote", None, True), ("accept", "h", "h", False, "acc", True, None, "none", "no_origin_basis:x", True), (None, None, None, None, None, None, None, None, None, None)],
+        {"outcome": lambda: review.promotion(*map(_c, ("d", "gh", "ph", "el", "id", "wh", "bl", "ba", "re", "fl")))},
+        [("promoted",), ("not_accepted",), ("stale",), ("already_eligible",), ("no_metric_id",), ("no_value_or_scope",), ("signed_difference_value",), ("reviewer_rationale_flagged",), ("no_origin_basis:x",), ("not_accepted",)],
+    )
+    route = lambda: review.origin_route(*map(_c, ("ex", "rv", "ov", "es", "inv", "pr", "pi")))
+    case(
+        "q_origin_route", "ex boolean, rv boolean, ov boolean, es boolean, inv boolean, pr string, pi string",
+        [(True, False, False, False, True, "paper_produced", None), (False, True, True, True, True, "paper_produced", None), (False, True, False, True, True, "no_signal", None), (False, True, True, False, False, "no_signal", "no_signal"),
+         (False, True, True, False, False, "no_signal", "unresolved"), (False, True, True, False, False, "paper_produced", "no_signal"), (None, None, None, None, None, None, None)],
+        {"state": lambda: route()[0], "route": lambda: route()[1]},
+        [("externally_sourced", "demote"), ("externally_sourced", "demote"), ("unresolved", "review"), ("no_signal", "review"), ("unresolved", "review"), ("unresolved", "review"), ("unresolved", "review")],
+    )
+    case(
+        "q_row_outcome", "n int, d string, ob boolean, bo boolean, va boolean",
+        [(0, None, None, None, None), (2, "result", True, True, True), (1, "result", False, None, None), (1, "not_a_result", True, True, True), (1, "not_a_result", False, None, None), (1, "result", True, False, True), (1, "result", True, True, False), (1, "result", True, True, True)],
+        {"outcome": lambda: review.row_outcome(*map(_c, ("n", "d", "ob", "bo", "va")))},
+        [("missing_disposition",), ("duplicate_disposition",), ("result_without_observation",), ("abstention_with_observation",), ("accepted",), ("observation_not_bound_to_row",), ("domain_candidate_validation",), ("accepted",)],
+    )
+    outcome = lambda: review.export_outcome(*map(_c, ("de", "tu", "ori", "co", "el", "op", "sa", "ex", "ad", "du")))
+    case(
+        "q_export_outcome", "de boolean, tu string, ori string, co boolean, el boolean, op boolean, sa boolean, ex boolean, ad boolean, du boolean",
+        [(False, None, None, None, None, None, None, None, None, None), (True, "rejected", "paper", False, True, False, True, False, False, False), (True, None, "paper", False, True, False, True, False, False, False), (True, "accepted", "external", False, True, False, True, False, False, False),
+         (True, "accepted", None, False, True, False, True, False, False, False), (True, "accepted", "paper", True, True, False, True, False, False, False), (True, "accepted", "paper", False, False, False, True, False, False, False), (True, "accepted", "paper", False, False, True, True, False, False, False),
+         (True, "accepted", "paper", False, True, False, False, False, False, False), (True, "accepted", "paper", False, True, False, True, True, False, False), (True, "accepted", "paper", False, True, False, True, True, True, True)],
+        {"outcome": lambda: outcome()[0], "code": lambda: outcome()[1]},
+        [("withheld", "DECISION_PENDING"), ("withheld", "TUPLE_REJECTED"), ("withheld", "TUPLE_UNRESOLVED"), ("withheld", "ORIGIN_EXTERNAL"), ("withheld", "ORIGIN_UNRESOLVED"), ("failed", "VALUE_EVIDENCE_CONTRADICTION"), ("failed", "NOT_ELIGIBLE"), ("approved", None),
+         ("failed", "TUPLE_RECOMPUTE_MISMATCH"), ("failed", "DETERMINISTIC_EXTERNAL_CONFLICT"), ("failed", "DUPLICATE")],
+    )
 
 
 _register()

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import metrics, text
-from tessera.operators import binding, compose, dedup, gates, layout, ledger, sampling, stats
+from tessera.operators import binding, compose, dedup, gates, layout, ledger, review, sampling, stats
 from tessera.plans import cases
+from tessera.sources import census
 from tessera.sources.tables import candidates, proposals, table
 
 QUERIES: dict = dict(cases.QUERIES)
@@ -170,7 +171,7 @@ def q_cohen_kappa(spark, d):
 
 
 @query("""WITH l AS (SELECT quality AS t, toxic AS g FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL), k AS (SELECT unnest([0, 1]) AS c),
-f AS (SELECT c, round(2 * count(*) FILTER (WHERE t = c AND g = c) / nullif(count(*) FILTER (WHERE t = c) + count(*) FILTER (WHERE g = c), 0), 6) AS f1 FROM l, k GROUP BY c)
+f AS (SELECT c, round(2 * count(*) FILTER (WHERE t = c AND g = c) / nullif(count(*) FILTER (WHERE t = c) + count(*) FILTER (WHERE g = c), 0), 6) AS f1 FROM l, k GROUP BY c HAVING count(*) FILTER (WHERE t = c) > 0)
 SELECT (SELECT count(*) FROM l) AS n, round((SELECT count(*) FILTER (WHERE t = g) / count(*) FROM l), 6) AS accuracy, round(avg(coalesce(f1, 0)), 6) AS macro_f1 FROM f""")
 def q_class_summary(spark, d):
     return stats.class_summary(table(spark, d, "labels"), "quality", "toxic")
@@ -313,3 +314,32 @@ def q_export_provenance(spark, d):
     own = cases.dealt(spark, d, rows, "fields array<struct<populated: boolean, gating: boolean, status: string>>, confidence double, claim_type string")
     own = own.withColumn("text_support", F.lit("supported")).withColumn("value_blocker", F.lit(None).cast("string")).withColumn("support_match_mode", F.lit("single_line")).withColumn("referential_status", F.lit("resolved"))
     return gates.export_policy(own, provenance=F.col("fields")).select("o_orderkey", F.col("export_status").alias("status"), F.col("export_reason").alias("reason"))
+
+
+@query("""WITH c AS (SELECT o_orderkey AS line, CASE o_orderkey % 10 WHEN 0 THEN '' WHEN 1 THEN '***' ELSE 'Paper ' || (o_orderkey % 1000) END AS id,
+CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'ftp://x' ELSE 'HTTPS://x/' END AS url, CASE o_orderkey % 11 WHEN 0 THEN 'n.d.' ELSE '2020' END AS y FROM orders),
+f AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY line) AS k, trim(regexp_replace(lower(id), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM c),
+e AS (SELECT *, CASE WHEN id = '' THEN 'missing_paper_id' WHEN k > 1 THEN 'duplicate_census_paper_id' WHEN url = '' THEN 'missing_pdf_url' WHEN url LIKE 'ftp%' THEN 'pdf_url_not_absolute_http' WHEN slug = '' THEN 'unusable_paper_id' END AS early FROM f),
+g AS (SELECT *, row_number() OVER (PARTITION BY slug, early IS NULL ORDER BY line) AS j FROM e)
+SELECT line, coalesce(early, CASE WHEN j > 1 THEN 'duplicate_derived_paper_id' WHEN y = 'n.d.' THEN 'unreadable_year' END) AS reason FROM g""")
+def q_census_rows(spark, d):
+    k = F.col("o_orderkey")
+    own = table(spark, d, "orders").select(
+        k.alias("line"), F.when(k % 10 == 0, " ").when(k % 10 == 1, "***").otherwise(F.concat(F.lit("Paper "), (k % 1000).cast("string"))).alias("paper_id"),
+        F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 7 == 1, "ftp://x").otherwise("HTTPS://x/").alias("pdf_url"), F.when(k % 11 == 0, "n.d.").otherwise(" 2020").alias("year"),
+    )
+    return census.judge_census(own).select("line", "reason")
+
+
+@query(f"""WITH {_CANDIDATES} SELECT observation_id, 'page ' || page AS page_text FROM c WHERE text_support = 'supported' AND claim_type = 'primary_result' AND export_status <> 'eligible' AND observation_id % 5 <> 0 AND page <= 5""")
+def q_review_items(spark, d):
+    own = candidates(spark, d).withColumn("state", F.when(F.col("observation_id") % 5 == 0, "externally_sourced"))
+    pages = own.select("paper_id", "page").distinct().filter("page <= 5").withColumn("page_text", F.concat(F.lit("page "), F.col("page").cast("string")))
+    return review.review_items(own, pages).select("observation_id", "page_text")
+
+
+@query("""SELECT o_orderkey AS observation_id, CASE WHEN o_orderkey % 4 = 0 THEN 'eligible_not_authorized' WHEN o_orderkey % 4 = 1 THEN 'authorized_not_eligible' ELSE 'stale_authorization' END AS issue FROM orders WHERE o_orderkey % 4 < 3""")
+def q_export_coverage(spark, d):
+    own = table(spark, d, "orders").select(F.col("o_orderkey").alias("observation_id"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("payload_sha256"))
+    given = own.withColumn("payload_sha256", F.when(F.col("observation_id") % 4 == 2, "old").otherwise(F.col("payload_sha256")))
+    return compose.coverage_issues(own.filter("observation_id % 4 <> 1"), given.filter("observation_id % 4 <> 0"))
