@@ -85,9 +85,11 @@ class Scratch:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m"):
-    """Whole texts go to Python in smaller batches than the session's while a table is written in here."""
+def small_batches(spark: SparkSession, partitions: int, rows: int = 1000, size: str = "8m"):
+    """While tables are written in here, whole texts go to Python in small batches, and shuffles have at least so many partitions."""
     own = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    if partitions > shuffle_partitions(spark):
+        own["spark.sql.shuffle.partitions"] = str(partitions)
     before = {k: spark.conf.get(k, None) for k in own}
     try:
         for k, v in own.items():

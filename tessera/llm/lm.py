@@ -264,12 +264,15 @@ class Model:
         self.shards, self.parts, self.tokens, self.norm, self.frequent, self.bits = shards, parts, tokens, norm, frequent, bits
 
 
-def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
-    """The model of texts(text)."""
-    spark = texts.sparkSession
-    # Shards as the rows' bytes have it; a token takes about six.
+def shard_count(texts: DataFrame) -> int:
+    """Shards as the texts' bytes have it; a token takes about six."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(shuffle_partitions(spark), -(-size // (6 * SHARD)))
+    return max(shuffle_partitions(texts.sparkSession), -(-size // (6 * SHARD)))
+
+
+def train(texts: DataFrame, scratch: Scratch, parts: int, rare: float = RARE) -> Model:
+    """The model of texts(text), in so many shards."""
+    spark = texts.sparkSession
     log = F.log10
     first_key, own_key = (lambda x, y: x), (lambda x, k: k)
 
@@ -348,7 +351,7 @@ def train(texts: DataFrame, scratch: Scratch, rare: float = RARE) -> Model:
     def spent_by(columns):
         own = _place(get()[0], columns[0])[1]
         key, at = np.unique(columns[0][own], return_inverse=True)
-        return {"x": key, "mass": np.bincount(at, columns[2][own] - DISCOUNT, len(key))}
+        return {"x": key, "mass": np.bincount(at, columns[2][own] - DISCOUNT, len(key)).astype(np.float64)}  # of nothing it counts whole numbers
 
     spent = _unpacked(triples, of_triple, spent_by, "x long, mass double")
     spent = _columns(spent.groupBy("x").agg(F.sum("mass").alias("mass")), "x", "mass")
@@ -415,7 +418,9 @@ class _Frequent:
 #: The first document of the task in a blob; pairs asked, by which document after it; pairs asked with a successor, likewise;
 #: words, likewise; documents' marks and what is known of them.
 _ASKED = (np.int64, np.int64, np.uint16, np.int64, np.uint16, np.uint32, np.int64, np.uint16, np.int32, np.int64, np.int64, np.int64, np.int64, np.float64, np.float64)
-_ANSWER = (("origin", np.int32), ("doc", np.int32), ("hi", np.int64), ("lo", np.int64), ("n", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64))
+#: What a shard answers to one task: documents and their sums of n-gram values; documents and their words known, unigram and context values.
+_ANSWERED = (np.int32, np.float32, np.int32, np.int32, np.float64, np.float64)
+_SCORES = (("hi", np.int64), ("lo", np.int64), ("n", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64))
 
 
 def text_scores(marked: DataFrame, model: Model) -> DataFrame:
@@ -499,36 +504,51 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
             words, n, w = _unpack(shards.column("words")[0].as_buffer(), (np.int64, np.int64, np.float32))
         else:
             trie, words, n, w = None, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
-        asked, found = [], []
+        asked, out = {}, []
         for origin, data in zip(rows.column("origin").to_pylist(), rows.column("data"), strict=True):
             first, x, who, y, whom, kids, word, whose, *known = _unpack(data.as_buffer(), _ASKED)
             if len(known[0]):
-                found.append((np.full(len(known[0]), origin), *known))
+                out.append((origin, True, _pack(*known)))
             else:
-                low = (origin << 32) + int(first[0])
-                asked.append((x, who + np.int64(low), y, whom + np.int64(low), kids, word, whose + np.int64(low)))
-        if asked:
-            x, who, y, whom, kids, word, whose = (np.concatenate(c) for c in zip(*asked, strict=True))
-            docs_, at = np.unique(np.concatenate((who, whom, whose)), return_inverse=True)
-            n_docs, asks, whose = len(docs_), at[: len(who) + len(whom)], at[len(who) + len(whom) :]
-            at, here = _place(words, word)
-            base = np.bincount(whose, np.log10((np.where(here, n[at] if len(n) else 0, 0) + 1) / norm), n_docs)
-            score = base + np.bincount(whose[here], w[at[here]], n_docs)
+                low = np.int64(first[0])
+                asked.setdefault(origin, []).append((x, who + low, y, whom + low, kids, word, whose + low))
+        for origin, own in asked.items():
+            x, who, y, whom, kids, word, whose = (np.concatenate(c) for c in zip(*own, strict=True))
+            asks, values = np.concatenate((who, whom)), np.zeros(len(who) + len(whom))
             if trie is not None and len(asks):
                 values = trie.values(np.concatenate((x, y)), np.concatenate((np.zeros(len(x), np.int64), kids.astype(np.int64))))
-                score = score + np.bincount(asks, values, n_docs)
-            zero = np.zeros(n_docs, np.int64)  # the mark and the size come from the task itself
-            found.append((docs_ >> 32, docs_ & 0xFFFFFFFF, zero, zero, zero, np.bincount(whose[here], minlength=n_docs), base, score))
-        cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [()] * len(_ANSWER)
-        return pa.table({name: np.asarray(c, kind) for (name, kind), c in zip(_ANSWER, cols, strict=True)})
+            asks, at = np.unique(asks, return_inverse=True)
+            holders, of = np.unique(whose, return_inverse=True)
+            place, here = _place(words, word)
+            base = np.log10((np.where(here, n[place] if len(n) else 0, 0) + 1) / norm)
+            back = np.where(here, w[place] if len(w) else 0.0, 0.0)
+            sums = (np.bincount(at, values, len(asks)), np.bincount(of[here], minlength=len(holders)), np.bincount(of, base, len(holders)), np.bincount(of, back, len(holders)))
+            out.append((origin, False, _pack(*(np.asarray(c, k) for c, k in zip((asks, sums[0], holders, *sums[1:]), _ANSWERED, strict=True)))))
+        kinds = (pa.int32(), pa.bool_(), pa.binary())
+        return pa.table([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], names=["origin", "own", "data"])
+
+    def join(rows: pa.Table) -> pa.Table:
+        """The sums of one task's documents: what it knew itself and what the shards answered."""
+        own = [_unpack(d.as_buffer(), _ASKED[8:]) for d, mine in zip(rows.column("data"), rows.column("own").to_pylist(), strict=True) if mine]
+        doc, hi, lo, size, known, base, score = (np.concatenate(c) for c in zip(*own, strict=True))
+        top = int(doc.max()) + 1
+        place = np.empty(top, np.int64)
+        place[doc] = np.arange(len(doc))
+        known, base, score = known.copy(), base.copy(), score.copy()
+        for d, mine in zip(rows.column("data"), rows.column("own").to_pylist(), strict=True):
+            if not mine:
+                asks, values, holders, found, plain, back = _unpack(d.as_buffer(), _ANSWERED)
+                score[place[asks]] += values
+                known[place[holders]] += found
+                base[place[holders]] += plain
+                score[place[holders]] += plain + back
+        return pa.table({name: np.asarray(c, kind) for (name, kind), c in zip(_SCORES, (hi, lo, size, known, base, score), strict=True)})
 
     asked = marked.select("text", "hi", "lo").mapInArrow(ask, "shard int, origin int, data binary")
-    schema = "origin int, doc int, hi long, lo long, n long, known long, base double, score double"
-    found = model.shards.drop("heavy").groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, schema)
-    sums = ("n", "known", "base", "score")
-    found = found.groupBy("origin", "doc").agg(*[F.sum(c).alias(c) for c in ("hi", "lo", *sums)])
+    found = model.shards.drop("heavy").groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, "origin int, own boolean, data binary")
+    found = found.groupBy("origin").applyInArrow(join, "hi long, lo long, n long, known long, base double, score double")
     # Equal rows in several tasks have asked each for themselves.
-    return found.groupBy("hi", "lo").agg(*[F.max(c).alias(c) for c in sums])
+    return found.groupBy("hi", "lo").agg(*[F.max(c).alias(c) for c in ("n", "known", "base", "score")])
 
 
 def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RARE) -> DataFrame:
@@ -541,8 +561,9 @@ def lm_scores(docs: DataFrame, scratch: Scratch | None = None, rare: float = RAR
     scratch = scratch or Scratch(docs.sparkSession)
     held = fold(F.col("doc_id"), FOLDS) == HELD_OUT
     marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hi"), F.xxhash64(F.lit(1), "text", "doc_id").alias("lo"))
-    with small_batches(docs.sparkSession):
-        model = train(docs.filter(~held).select("text"), scratch, rare)
+    parts = shard_count(docs)
+    with small_batches(docs.sparkSession, parts):
+        model = train(docs.filter(~held).select("text"), scratch, parts, rare)
         scores = scratch.keep(text_scores(marked, model), "scores")
         scratch.drop(model.shards)
     out = marked.drop("text").join(scores, ["hi", "lo"], "left")
