@@ -512,11 +512,14 @@ def text_scores(marked: DataFrame, model: Model) -> DataFrame:
             else:
                 low = np.int64(first[0])
                 asked.setdefault(origin, []).append((x, who + low, y, whom + low, kids, word, whose + low))
-        for origin, own in asked.items():
-            x, who, y, whom, kids, word, whose = (np.concatenate(c) for c in zip(*own, strict=True))
-            asks, values = np.concatenate((who, whom)), np.zeros(len(who) + len(whom))
-            if trie is not None and len(asks):
-                values = trie.values(np.concatenate((x, y)), np.concatenate((np.zeros(len(x), np.int64), kids.astype(np.int64))))
+        own = {origin: [np.concatenate(c) for c in zip(*parts_, strict=True)] for origin, parts_ in asked.items()}
+        if trie is not None and own:  # all tasks' questions at once
+            every = [np.concatenate((x, y)) for x, _, y, _, _, _, _ in own.values()]
+            kin = [np.concatenate((np.zeros(len(x), np.int64), kids.astype(np.int64))) for x, _, _, _, kids, _, _ in own.values()]
+            answers = np.split(trie.values(np.concatenate(every), np.concatenate(kin)), np.cumsum([len(e) for e in every])[:-1])
+        for i, (origin, (x, who, y, whom, _, word, whose)) in enumerate(own.items()):
+            asks = np.concatenate((who, whom))
+            values = answers[i] if trie is not None else np.zeros(len(asks))
             asks, at = np.unique(asks, return_inverse=True)
             holders, of = np.unique(whose, return_inverse=True)
             place, here = _place(words, word)

@@ -137,14 +137,17 @@ class Trie:
 
     def values(self, keys: np.ndarray, kids: np.ndarray) -> np.ndarray:
         """Each context's value and that of its successor kids (0: none asked); what is not here counts 0."""
-        at = self.keys.find(keys - self.base)
-        out = np.where(at >= 0, self.first[np.maximum(at, 0)] if self.keys.n else 0.0, 0.0)
+        # Each context and successor is searched once, however often it is asked.
+        distinct, where = np.unique(keys, return_inverse=True)
+        at = self.keys.find(distinct - self.base)
+        own = np.where(at >= 0, self.first[np.maximum(at, 0)] if self.keys.n else 0.0, 0.0)
+        out, at = own[where], at[where]
         ask = np.flatnonzero((at >= 0) & (kids > 0))
         if len(ask) and self.kids.n:
-            own = at[ask]
-            found = self.kids.find((own << SHORT) | kids[ask])
+            distinct, where = np.unique((at[ask] << SHORT) | kids[ask], return_inverse=True)
+            own, found = distinct >> SHORT, self.kids.find(distinct)
             inside = (found >= self.pointers[own]) & (found < self.pointers[own + 1])
-            out[ask] += np.where(inside, self.second[np.maximum(found, 0)], 0.0)
+            out[ask] += np.where(inside, self.second[np.maximum(found, 0)], 0.0)[where]
         return out
 
     def dump(self) -> bytes:
