@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, table
-from tessera.llm.dom import INLINE, Node, blocks, match, parse, shape, shown
+from tessera.llm.dom import INLINE, Node, blocks, marks, match, parse, shape, shown
 from tessera.llm.urlfilter import host_of
 
 #: A slot is constant if all of at least so many pages hold one text there.
@@ -37,10 +37,6 @@ def _number(root: Node) -> list[Node]:
     return out
 
 
-def _text(group: tuple[Node, ...]) -> str:
-    return "\n".join("\n".join(blocks(n)) for n in group)
-
-
 def _chiefs(nodes: list[Node]) -> list[Node]:
     """The outermost article, or else main elements outside what is skipped, in page order."""
     for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or "articlebody" in n.words or "main" in n.words and n.tag in ("div", "section")):
@@ -88,10 +84,14 @@ def _joined(nodes: list[Node]) -> str:
     return "\n\n".join(t for n in nodes for t in blocks(n))
 
 
-def slots(template: Node, page: Node) -> Iterator[tuple[int, str]]:
-    """(template node, text) of each aligned pair whose texts count: those of elements that hold text blocks."""
+def slots(template: Node, page: Node) -> Iterator[tuple[int, int, int]]:
+    """(template node, hash of the page's text there, its length) of each aligned pair."""
+    marks(page)
     for own, other in match(template, page)[1]:
-        yield own[0].number, _text(other)
+        mark = other[0].mark
+        for n in other[1:]:
+            mark = (mark * 31 + n.mark + 1) % ((1 << 61) - 1)
+        yield own[0].number, mark, sum(n.chars for n in other) + len(other) - 1
 
 
 def extract(html: str | None, template: Node | None, wrapper: int | None, constant: list[int] | None = None) -> str:
@@ -157,7 +157,6 @@ def extract_pages(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame
 
     Null and empty html give an empty text, as do pages without text. Pages without a host share the empty host's
     wrapper. Repeated rows stay, each with its text. Extra columns are not read; an empty table gives an empty result.
-    Nesting deeper than the aligner follows is kept as text of the slot above.
     """
     scratch = scratch or Scratch(pages.sparkSession)
     own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
@@ -167,8 +166,6 @@ def extract_pages(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame
     bounded = F.broadcast if small else (lambda df: df)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         templates, sums = _Templates(), {}
 
         def out() -> pa.RecordBatch:
@@ -185,16 +182,15 @@ def extract_pages(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame
                 if tree is None or not html:
                     continue
                 page = parse(html)
-                for slot, text in slots(tree, page):
-                    mark = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+                for slot, mark, chars in slots(tree, page):
                     seen = sums.get((host, slot))
                     if seen is None:
-                        sums[host, slot] = [1, mark, mark, len(text)]
+                        sums[host, slot] = [1, mark, mark, chars]
                     else:
                         seen[0] += 1
                         seen[1] = min(seen[1], mark)
                         seen[2] = max(seen[2], mark)
-                        seen[3] += len(text)
+                        seen[3] += chars
             if len(sums) > 50_000:
                 yield out()
         yield out()

@@ -441,3 +441,37 @@ def test_probing_a_part_of_the_lists_keeps_the_recall(spark):
         best = np.argsort(-product, axis=1)[:, :20]
         held = [np.isin(lists[b], p).mean() for b, p in zip(best, index.probes(x[asks], None), strict=True)]
         assert np.mean(held) >= 0.94
+
+
+def test_wide_pages_align_as_narrow_ones_do(spark):
+    """Largest matches and results must not change where a page has many children, or one of a list's many containers repeats."""
+    rng = np.random.default_rng(9)
+    inner = ["", "<p>x</p>", "<ul></ul><p>x</p>", "<h2>x</h2><div><p>x</p></div>"]
+    for n in (20, 90):
+        a, b = (dom.parse("".join(f"<div class={rng.choice(list('abc'))}>{rng.choice(inner)}</div>" for _ in range(n))) for _ in range(2))
+        x, y = dom.shape(a), dom.shape(b)
+        table = np.zeros((n + 1, n + 1), int)
+        for i in range(n):
+            for j in range(n):
+                own = brute_match(x[i][0], y[j][0]) if x[i][0].label == y[j][0].label else 0
+                table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j], table[i, j] + own)
+        size, pairs = dom.match(a, b)
+        assert size == len(pairs) == 1 + table[n, n]
+    rows, want = [], {}
+    for h, n in enumerate((20, 100)):
+        for i in range(6):
+            parts = [f"<h2>head {k} of {i}</h2><p>text {k} of {i}</p>" for k in range(n)]
+            want[10 * h + i] = "\n\n".join(f"head {k} of {i}\n\ntext {k} of {i}" for k in range(n))
+            parts.insert(3, "<div class=xyz>Buy our book today</div>")
+            parts.insert(0 if i % 2 else 16, "<table></table>")
+            rows.append((10 * h + i, f"http://{h}.org/{i}", f"<article>{''.join(parts)}</article>"))
+    for i in range(4):
+        own = [f"<div>entry {k} of {i}</div>" for k in range(60)]
+        want[20 + i] = "\n\n".join(f"entry {k} of {i}" for k in range(60))
+        rows.append((20 + i, f"http://list.org/{i}", f"<article>{''.join([*own[:30], '<div>Buy our book today</div>', *own[30:]])}</article>"))
+    deep = "<div>" * 400 + "<h2>head {0}</h2><table><tr><td>Buy our book today</table><p>text {0}</p>" + "</div>" * 400
+    for i in range(4):
+        want[30 + i] = f"head {i}\n\ntext {i}"
+        rows.append((30 + i, f"http://deep.org/{i}", f"<article>{deep.format(i)}</article>"))
+    got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
