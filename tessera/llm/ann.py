@@ -30,6 +30,8 @@ RECALL, ASKED = 0.96, 500
 ROWS, SPLIT = 40, 32
 #: Most vectors, and queries, that meet in one task, about.
 VECTORS, QUERIES = 4096, 2048
+#: Pairs are measured one by one once a smaller share of a block's is left; so many are measured exactly at once.
+DENSE, PAIRS = 1 / 32, 1 << 16
 #: e of the hypothesis test.
 EPSILON = 3.0
 
@@ -141,34 +143,46 @@ class Index:
             return bound * (1 + 1e-9) + 1e-9
         return bound * (done / dim) * (1 + EPSILON / np.sqrt(done)) ** 2 + 1e-9
 
-    def scan(self, ids, x, t, asks, q, t_q, bounds) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(positions, scores) of the best k of one block of vectors for each query.
+    def scan(self, ids, x, t, asks, q, t_q, bounds) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(queries' positions, vectors' positions, scores) of the best k of one block of vectors for each query.
 
-        x, q: the vectors and queries as they are; t, t_q: turned. The first two column blocks are measured for many
-        queries at once, the others only for candidates that the tests leave.
+        x, q: the vectors and queries as they are; t, t_q: turned. A block of columns is measured for all pairs of many
+        queries at once while the tests leave a good part of them, at least the first two; the others only for the pairs left.
         """
+        # |a - b|^2 as one product of (-2 a, 1, |a|^2) and (b, |b|^2, 1).
+        beside = lambda y, *more: np.concatenate((y, *(np.broadcast_to(np.reshape(m, (-1, 1)), (len(y), 1)) for m in more)), axis=1)
+        columns = [beside(t[:, b], (t[:, b] ** 2).sum(1), 1.0).T for b in self.blocks]
         for a in range(0, len(asks), 128):
             own, some = t_q[a : a + 128], bounds[a : a + 128]
-            alive, partial, done = ids[None, :] != asks[a : a + 128, None], 0.0, 0
-            for b in self.blocks[:2]:
-                part, turned = t[:, b], own[:, b]
-                partial = partial + ((turned * turned).sum(1)[:, None] + (part * part).sum(1) - 2 * turned @ part.T)
-                done = b.stop
-                alive &= partial <= self.limit(some, done)[:, None]
-            for i in range(len(own)):
-                left = np.flatnonzero(alive[i])
-                sums, upto = partial[i, left], done
-                for b in self.blocks[2:]:
-                    sums = sums + ((t[left, b] - own[i, b]) ** 2).sum(1)
-                    upto = b.stop
-                    stays = sums <= self.limit(some[i], upto)
-                    left, sums = left[stays], sums[stays]
-                if len(left) > self.k:
-                    kth = np.partition(sums, self.k - 1)[self.k - 1]
-                    left = left[sums <= kth * (1 + 1e-9) + 1e-9]
-                scores = (x[left] * q[a + i]).sum(1)
-                best = np.lexsort((ids[left], -scores))[: self.k]
-                yield left[best], scores[best]
+            alive = ids[None, :] != asks[a : a + 128, None]
+            partial, done = np.zeros(alive.shape), 0
+            for b, part in zip(self.blocks, columns, strict=True):
+                if done >= 2 and np.count_nonzero(alive) < DENSE * alive.size:
+                    break
+                partial += beside(-2 * own[:, b], 1.0, (own[:, b] ** 2).sum(1)) @ part
+                alive &= partial <= self.limit(some, b.stop)[:, None]
+                done += 1
+            at, left = np.nonzero(alive)
+            sums = partial[at, left]
+            for b in self.blocks[done:]:
+                sums = sums + ((t[left, b] - own[at, b]) ** 2).sum(1)
+                stays = sums <= self.limit(some, b.stop)[at]
+                at, left, sums = at[stays], left[stays], sums[stays]
+            order = np.lexsort((sums, at))
+            at, left, sums = at[order], left[order], sums[order]
+            first = np.searchsorted(at, np.arange(len(own)))
+            many = np.bincount(at, minlength=len(own)) > self.k
+            kth = np.full(len(own), np.inf)
+            kth[many] = sums[first[many] + self.k - 1]
+            stays = sums <= (kth * (1 + 1e-9) + 1e-9)[at]
+            at, left = at[stays], left[stays]
+            # Copies may leave all pairs, so that a part is measured at once.
+            scores = [(x[left[c : c + PAIRS]] * q[a + at[c : c + PAIRS]]).sum(1) for c in range(0, len(at), PAIRS)]
+            scores = np.concatenate(scores) if scores else np.empty(0)
+            best = np.lexsort((ids[left], -scores, at))
+            at = at[best]
+            stays = np.arange(len(at)) - np.searchsorted(at, at) < self.k
+            yield a + at[stays], left[best][stays], scores[best][stays]
 
 
 def fit(vectors: DataFrame, k: int, sample: int = SAMPLE) -> Index | None:
@@ -237,9 +251,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
             ids, raw = a.column("id").to_numpy(), _matrix(a.column("vec"))
             asks, raw_q, bounds = b.column("id").to_numpy(), _matrix(b.column("vec")), b.column("bound").to_numpy()
             found = own.scan(ids, raw, own.turn(raw), asks, raw_q, own.turn(raw_q, query=True), bounds)
-            for i, (at, scores) in enumerate(found):
-                got[0].append(np.full(len(at), asks[i]))
-                got[1].append(ids[at])
+            for at, left, scores in found:
+                got[0].append(asks[at])
+                got[1].append(ids[left])
                 got[2].append(scores)
         arrays = [np.concatenate(g) if g else np.empty(0) for g in got]
         kinds = (pa.int64(), pa.int64(), pa.float64())

@@ -475,3 +475,33 @@ def test_wide_pages_align_as_narrow_ones_do(spark):
         rows.append((30 + i, f"http://deep.org/{i}", f"<article>{deep.format(i)}</article>"))
     got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == want
+
+
+def test_a_block_is_scanned_for_all_its_queries_at_once(monkeypatch):
+    """The same results as brute force, copies, ties and unbounded queries included; work in Python does not grow with the queries."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((600, 33)).astype(np.float32).astype(float)
+    x[200:300] = x[7]
+    ids = rng.permutation(600)
+    index = ann.Index(ids[:300], x[:300], float(np.sqrt((x * x).sum(1).max())), 600, 20)
+    calls, limit = [], ann.Index.limit
+    monkeypatch.setattr(ann.Index, "limit", lambda self, bound, done: calls.append(done) or limit(self, bound, done))
+    monkeypatch.setattr(ann, "PAIRS", 1000, raising=False)
+    asks, q = ids[150:350], x[150:350]
+    product = q @ x.T
+    product[ids[None, :] == asks[:, None]] = -np.inf
+    want = [[int(i) for i in np.lexsort((ids, -np.round(p, 9)))[:20]] for p in product]
+    kth = np.array([p[w[-1]] for p, w in zip(product, want, strict=True)])
+    near = (q * q).sum(1) + index.top**2 - 2 * kth + 1e-6
+    for bounds in (np.full(200, np.inf), near * 2, near):
+        calls.clear()
+        found = list(index.scan(ids, x, index.turn(x), asks, q, index.turn(q, query=True), bounds))
+        assert len(calls) <= 2 * len(index.blocks)  # two groups of queries
+        got = [[] for _ in asks]
+        for at, left, scores in found:
+            for i, j, s in zip(at, left, scores, strict=True):
+                got[i].append(int(j))
+                assert abs(s - product[i, j]) < 1e-9
+        hits = sum(len(set(g) & set(w)) for g, w in zip(got, want, strict=True))
+        assert hits >= 0.95 * 4000 if bounds is near else got == want
+    assert not [r for at, _, _ in index.scan(ids[:1], x[:1], index.turn(x[:1]), ids[:1], x[:1], index.turn(x[:1], query=True), np.full(1, np.inf)) for r in at]
