@@ -92,8 +92,10 @@ def features(text: str | None) -> np.ndarray:
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0) -> np.ndarray:
     logs = []
     for label in (1, 0):
-        own = [r for r, t in zip(rows, y, strict=True) if t == label]
-        counts = alpha + np.bincount(np.concatenate(own) if own else np.empty(0, np.int64), minlength=1 << BITS)
+        counts = np.full(1 << BITS, alpha)
+        for r, t in zip(rows, y, strict=True):
+            if t == label:
+                counts[r] += 1  # a row's features are distinct
         logs.append(np.log(counts / counts.sum()))
     return logs[0] - logs[1]
 
@@ -104,17 +106,19 @@ def hinge_fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, c: float
     Solves min |w|^2/2 + c * sum max(0, 1 - y w.x) over the ratio-scaled indicators.
     """
     sign = np.where(y > 0, 1.0, -1.0)
-    values = [ratio[r] for r in rows]
-    square = np.array([v @ v + 1.0 for v in values])
+    square = np.array([(v := ratio.take(r)) @ v + 1.0 for r in rows])
     w, bias, alpha = np.zeros(1 << BITS), 0.0, np.zeros(len(rows))
     rng = np.random.default_rng(0)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            slope = sign[i] * (w[rows[i]] @ values[i] + bias) - 1.0
+            at = rows[i].astype(np.int64)
+            # Looked up each time, as the values of all rows are twice the rows' size.
+            value, own = ratio.take(at), w.take(at)
+            slope = sign[i] * (own @ value + bias) - 1.0
             new = min(max(alpha[i] - slope / square[i], 0.0), c)
             if new != alpha[i]:
                 step = (new - alpha[i]) * sign[i]
-                w[rows[i]] += step * values[i]
+                w[at] = own + step * value
                 bias += step
                 alpha[i] = new
     return w * ratio, bias
@@ -167,18 +171,31 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> Model:
-    """Fit on at most `most` labelled documents; their features, not texts, come to the driver."""
+    """Fit in one task of the cluster, on at most `most` labelled documents: neither texts nor features reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(t.as_py()).astype(np.int32) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["f", "y"])
 
-    got = training_rows(docs, labels, label, most).mapInArrow(run, "f array<int>, y double").toArrow()
-    rows = [np.asarray(x, np.int64) for chunk in got.column("f").chunks for x in (s.values.to_numpy() for s in chunk)]
-    order = sorted(range(len(rows)), key=lambda i: (len(rows[i]), rows[i].tobytes()))  # whatever order they came in
-    y = np.concatenate([c.to_numpy() for c in got.column("y").chunks]) if len(rows) else np.empty(0)
-    return Model([rows[i] for i in order], (y[order] > 0).astype(float) if len(rows) else y)
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import cloudpickle
+
+        rows, y = [], []
+        for batch in batches:
+            lists = batch.column(0)
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            rows += [flat[ends[i] : ends[i + 1]] for i in range(len(lists))]
+            y += (batch.column(1).to_numpy() > 0).astype(float).tolist()
+        order = sorted(range(len(rows)), key=lambda i: (len(rows[i]), rows[i].tobytes(), y[i]))  # whatever order they came in
+        model = Model([rows[i] for i in order], np.array([y[i] for i in order]))
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
+
+    from pyspark import cloudpickle
+
+    known = training_rows(docs, labels, label, most).mapInArrow(run, "f array<int>, y double")
+    models = known.repartition(1).mapInArrow(fit, "model binary").collect()
+    return cloudpickle.loads(bytes(models[0][0])) if models else Model([], np.empty(0))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD, most: int = SAMPLE) -> DataFrame:

@@ -1,6 +1,7 @@
 """Small cases of every corpus operator: nulls, empty and repeated rows, extra columns, empty tables, brute force."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -140,6 +141,25 @@ def test_classifiers_learn_and_bear_odd_rows(spark, module):
     assert len({r["score"] for r in module.classify(docs(spark, texts[:3]), labels.limit(0)).collect()}) == 1
 
 
+def test_quality_features_stay_out_of_the_driver(spark):
+    """The driver's share does not grow with the sample, and the model is that of a fit on the same rows here."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["Calm", "words"] if i % 2 else ["LOUD!!", "x9"], 4)) + " " + " ".join(f"w{k}" for k in rng.integers(0, 10**6, 300)) for i in range(1500)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1500)], "doc_id long, quality int")
+    table = docs(spark, texts)
+    tracemalloc.start()
+    try:
+        model = quality.train(table, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20e6, f"{peak / 1e6:.0f} MB"
+    found = [(quality.features(texts[i]).astype(np.int32), float(i % 2)) for i in range(1500) if zlib.crc32(str(i).encode()) % 5]
+    found.sort(key=lambda r: (len(r[0]), r[0].tobytes()))
+    own = quality.Model([r for r, _ in found], np.array([t for _, t in found]))
+    assert np.array_equal(model.w, own.w) and (model.bias, model.slope, model.offset) == (own.bias, own.slope, own.offset)
+
+
 def test_pieces_equal_the_library(spark):
     import sentencepiece
 
